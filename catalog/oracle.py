@@ -666,3 +666,15 @@ ORACLE["request_rows"] = (
     + " FROM spread"
 )
 ORACLE["request_features"] = request_features()
+ORACLE["stream_replay"] = _dense_query(f"panel_id, sequence_id, ts, {rounded(ZONES)}")
+ORACLE["stream_features"] = ORACLE["feature_matrix"]
+ORACLE["stream_features_compat"] = ORACLE["features_online_compat"]
+_served = features("fallback")
+_known = " AND ".join(f'"{n}" IS NOT NULL' for n in _served)
+ORACLE["stream_features_windowed"] = (
+    f"WITH {DENSE}, every AS (SELECT panel_id, ts, {cols(_served)} FROM dense "
+    "WINDOW w AS (PARTITION BY panel_id ORDER BY ts)) "
+    f"SELECT panel_id, ts, {rounded(_served)} FROM every WHERE {_known}"
+)
+ORACLE["stream_snapshots"] = ORACLE["metric_snapshots"]
+ORACLE["stream_messages"] = ORACLE["forecast_messages"]
