@@ -13,6 +13,7 @@ from loadweave.functions import expressions as E
 from loadweave.operators import cleaning, evaluation, features, quality, release, requests, splits
 from loadweave.operators.baselines import BASELINES, baseline_columns
 from loadweave.plans.layout import lay_out
+from loadweave.plans.windows import WindowColumns
 from loadweave.session import scratch_path
 from loadweave.settings import Settings
 from loadweave.sources import readers, sinks
@@ -127,19 +128,26 @@ def cyclic_features(spark, sf):
     return r6(events.select("event_id", *[cal[n].alias(n) for n in names]))
 
 
-def _on_series(spark, sf, back, make, ahead=0):
+def _made(layout, columns, make):
+    """``columns`` of the layout's rows and the window columns ``make`` defines."""
+    w = WindowColumns(layout.window)
+    cols = make(w)
+    rows = layout.core(w.onto(layout.df))
+    return r6(rows.select(*columns, *[c.alias(n) for n, c in cols.items()]))
+
+
+def _on_series(spark, sf, back, make):
     """Window columns of the supplier series."""
     series, steps = X.series_supplier(spark, sf)
-    layout = lay_out(series, ["panel_id"], ["ts"], back=back, ahead=ahead, max_rows=steps)
-    return r6(layout.core(layout.df.withColumns(make(layout.window))))
+    layout = lay_out(series, ["panel_id"], ["ts"], back=back, max_rows=steps)
+    return _made(layout, ["panel_id", "ts", "v"], make)
 
 
 def _on_panel(spark, sf, make):
     """Window columns of the dense daily panel."""
     panel, steps = X.panel_daily(spark, sf)
     layout = features.panel_layout(panel, DAILY, max_rows=steps)
-    made = layout.core(layout.df.withColumns(make(layout.window)))
-    return r6(made.drop(*DAILY.zones))
+    return _made(layout, ["panel_id", "ts"], make)
 
 
 @query
@@ -485,6 +493,18 @@ def baseline_eval_current(spark, sf):
     return _baseline_eval(spark, sf, "af", "current")
 
 
+@query
+def baseline_eval_suppliers(spark, sf):
+    """The feature matrix of every supplier's panel, scored by the baselines."""
+    panel, steps = X.panel_supplier(spark, sf)
+    rows = features.build_features(panel, DAILY, max_rows=steps)
+    return r6(
+        evaluation.evaluate_baselines(
+            rows, ["panel_id"], ["ts"], "target", "af_lag_1", max_rows=steps
+        )
+    )
+
+
 @query
 def metric_snapshots(spark, sf):
     results, steps = _results(spark, sf)

@@ -28,10 +28,6 @@ def r6(df: DataFrame) -> DataFrame:
     )
 
 
-def one_panel(spark: SparkSession) -> DataFrame:
-    return spark.range(1).select(F.lit("all").alias("panel_id"))
-
-
 def panel_daily_sparse(spark: SparkSession, sf: str) -> DataFrame:
     zone = F.concat("l_returnflag", "l_linestatus")
     return panel_from_long(
@@ -47,7 +43,7 @@ def panel_daily(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
     """The dense daily panel and its number of rows per panel."""
     first, steps = daily_steps(spark, sf)
     sparse = panel_daily_sparse(spark, sf)
-    return densify(sparse, DAILY, first, steps, "day", one_panel(spark)), steps
+    return densify(sparse, DAILY, first, steps, "day"), steps
 
 
 def panel_hourly_sparse(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,3 +118,20 @@ def requests(spark: SparkSession, sf: str) -> DataFrame:
             for z in DAILY.zones
         ],
     )
+
+
+def panel_supplier(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
+    """One dense daily panel of six zones per supplier: panels grow with the data."""
+    first, steps = daily_steps(spark, sf)
+    zone = F.concat("l_returnflag", "l_linestatus")
+    lineitem = read_table(spark, sf, "lineitem")
+    sparse = panel_from_long(
+        lineitem,
+        "l_shipdate",
+        zone,
+        "l_quantity",
+        "day",
+        DAILY_ZONES,
+        panel=F.col("l_suppkey").cast("string"),
+    )
+    return densify(sparse, DAILY, first, steps, "day"), steps

@@ -38,6 +38,19 @@ DENSE = (
     + ", ".join(f'coalesce(sparse."{z}", 0.0) AS "{z}"' for z in ZONES)
     + " FROM cal LEFT JOIN sparse ON cal.ts = sparse.ts)"
 )
+DENSE_SUPPLIER = (
+    "sparse AS ("
+    + _SPARSE.replace("SELECT ", "SELECT l_suppkey::VARCHAR AS panel_id, ", 1).replace(
+        "GROUP BY 1", "GROUP BY 1, 2"
+    )
+    + "), bounds AS (SELECT min(ts) AS a, max(ts) AS b FROM sparse), "
+    "days AS (SELECT unnest(generate_series(a, b, INTERVAL 1 DAY))::TIMESTAMP AS ts FROM bounds), "
+    "ids AS (SELECT DISTINCT panel_id FROM sparse), "
+    "dense AS (SELECT ids.panel_id, days.ts, "
+    + ", ".join(f'coalesce(sparse."{z}", 0.0) AS "{z}"' for z in ZONES)
+    + " FROM ids CROSS JOIN days LEFT JOIN sparse "
+    "ON sparse.panel_id = ids.panel_id AND sparse.ts = days.ts)"
+)
 _Z = ", ".join(f'"{z}"' for z in ZONES)
 HOUR_PANEL = (
     "hours AS (SELECT 'all' AS panel_id, date_trunc('hour', ts)::TIMESTAMP AS ts, "
@@ -158,11 +171,11 @@ def features(policy: str, compat: bool = False) -> dict[str, str]:
     return out
 
 
-def feature_cte(policy: str) -> str:
+def feature_cte(policy: str, dense: str = DENSE) -> str:
     made = features(policy)
     known = " AND ".join(f'"{n}" IS NOT NULL' for n in made)
     return (
-        f"{DENSE}, every AS (SELECT panel_id, ts, af, {cols(made)}, lead(af, 1) OVER w AS target "
+        f"{dense}, every AS (SELECT panel_id, ts, af, {cols(made)}, lead(af, 1) OVER w AS target "
         "FROM dense WINDOW w AS (PARTITION BY panel_id ORDER BY ts)), "
         f"feats AS (SELECT * FROM every WHERE {known} AND target IS NOT NULL)"
     )
@@ -332,7 +345,7 @@ def baseline_cols(series: str, convention: str) -> dict[str, str]:
     }
 
 
-def baseline_eval(series: str, convention: str) -> str:
+def baseline_eval(series: str, convention: str, dense: str = DENSE) -> str:
     made = baseline_cols(series, convention)
     parts = []
     for name in made:
@@ -342,7 +355,7 @@ def baseline_eval(series: str, convention: str) -> str:
             f"{n_both('target', name)} AS n_samples FROM base GROUP BY panel_id"
         )
     return (
-        f"WITH {feature_cte('fallback')}, base AS (SELECT panel_id, target, {cols(made)} FROM feats "
+        f"WITH {feature_cte('fallback', dense)}, base AS (SELECT panel_id, target, {cols(made)} FROM feats "
         "WINDOW w AS (PARTITION BY panel_id ORDER BY ts)) " + " UNION ALL ".join(parts)
     )
 
@@ -611,6 +624,7 @@ ORACLE["fold_averages"] = (
 )
 ORACLE["baseline_eval"] = baseline_eval("af_lag_1", "shifted")
 ORACLE["baseline_eval_current"] = baseline_eval("af", "current")
+ORACLE["baseline_eval_suppliers"] = baseline_eval("af_lag_1", "shifted", DENSE_SUPPLIER)
 ORACLE["metric_snapshots"] = f"WITH {SNAPSHOTS} SELECT * FROM shots"
 ORACLE["rolling_metrics"] = (
     f"WITH {RESULTS}, rolled AS (SELECT panel_id, sequence_id, "

@@ -12,6 +12,7 @@ from loadweave.functions.expressions import clip_low, price, price_actual
 from loadweave.operators.baselines import BASELINES, baseline_columns
 from loadweave.plans.joins import attach
 from loadweave.plans.layout import lay_out, running
+from loadweave.plans.windows import WindowColumns
 from loadweave.settings import PanelSpec, Settings
 
 
@@ -215,9 +216,10 @@ def with_baselines(
     rows_per_chunk: int | None = None,
 ) -> DataFrame:
     layout = lay_out(df, keys, order, back=168, max_rows=max_rows, rows_per_chunk=rows_per_chunk)
-    return layout.core(
-        layout.df.withColumns(baseline_columns(series, layout.window, convention))
-    )
+    w = WindowColumns(layout.window)
+    made = baseline_columns(series, w, convention)
+    rows = layout.core(w.onto(layout.df))
+    return rows.select(*df.columns, *[c.alias(n) for n, c in made.items()])
 
 
 def evaluate_baselines(

@@ -10,10 +10,10 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
 
 from loadweave.functions.expressions import calendar, ratio
 from loadweave.plans.layout import Layout, lay_out
+from loadweave.plans.windows import WindowColumns
 from loadweave.settings import PanelSpec, Settings
 
 CALENDAR_NAMES = (
@@ -46,48 +46,26 @@ def feature_names(spec: PanelSpec, settings: Settings = Settings()) -> list[str]
     return names
 
 
-def lags(name: str, ks: Iterable[int], w: WindowSpec, shift: int = 0) -> dict[str, Column]:
+def lags(name: str, ks: Iterable[int], w: WindowColumns, shift: int = 0) -> dict[str, Column]:
     """Row lags; ``shift`` moves all of them towards the present."""
-    return {
-        f"{name}_lag_{k}": F.lag(name, k - shift).over(w)
-        if k - shift
-        else F.col(name)
-        for k in ks
-    }
-
-
-def _when_full(frame: WindowSpec, name: str, n: int, value: Column) -> Column:
-    return F.when(F.count(name).over(frame) == n, value)
+    return {f"{name}_lag_{k}": w.lag(name, k - shift) for k in ks}
 
 
 def trailing(
-    name: str, n: int, w: WindowSpec, stats: Sequence[str], rows: int | None = None
+    name: str, n: int, w: WindowColumns, stats: Sequence[str], rows: int | None = None
 ) -> dict[str, Column]:
     """Statistics of the ``n`` rows before the current one, NULL until all are there.
 
     ``rows`` narrows the frame without renaming the columns.
     """
-    rows = rows or n
-    frame = w.rowsBetween(-rows, -1)
-    made = {
-        "mean": F.avg(name),
-        "std": F.stddev_samp(name),
-        "min": F.min(name),
-        "max": F.max(name),
-    }
-    return {
-        f"{name}_roll_{stat}_{n}h": _when_full(frame, name, rows, made[stat].over(frame))
-        for stat in stats
-    }
+    return {f"{name}_roll_{stat}_{n}h": w.full(stat, name, rows or n) for stat in stats}
 
 
-def diffs(name: str, w: WindowSpec) -> dict[str, Column]:
-    return {
-        f"{name}_diff_{k}h": F.col(name) - F.lag(name, k).over(w) for k in (1, 24)
-    }
+def diffs(name: str, w: WindowColumns) -> dict[str, Column]:
+    return {f"{name}_diff_{k}h": F.col(name) - w.lag(name, k) for k in (1, 24)}
 
 
-def ratios(spec: PanelSpec, w: WindowSpec, policy: str = "fallback") -> dict[str, Column]:
+def ratios(spec: PanelSpec, w: WindowColumns, policy: str = "fallback") -> dict[str, Column]:
     """Share of a day ago, of the first other zone, and of the total."""
     t = F.col(spec.target)
     total = F.col(spec.zones[0])
@@ -95,7 +73,7 @@ def ratios(spec: PanelSpec, w: WindowSpec, policy: str = "fallback") -> dict[str
         total = total + F.col(z)
     first = spec.others[0]
     return {
-        f"{spec.target}_ratio_24h": ratio(t, F.lag(spec.target, 24).over(w), policy, 1.0),
+        f"{spec.target}_ratio_24h": ratio(t, w.lag(spec.target, 24), policy, 1.0),
         f"{spec.target}_to_{first}_ratio": ratio(t, F.col(first), policy, 1.0),
         f"{spec.target}_to_total_ratio": ratio(t, total, policy, 0.0),
     }
@@ -103,7 +81,7 @@ def ratios(spec: PanelSpec, w: WindowSpec, policy: str = "fallback") -> dict[str
 
 def feature_columns(
     spec: PanelSpec,
-    w: WindowSpec,
+    w: WindowColumns,
     settings: Settings = Settings(),
     policy: str = "fallback",
     convention: str = "parity",
@@ -165,9 +143,31 @@ def panel_layout(
     )
 
 
+def telling_columns(spec: PanelSpec, settings: Settings = Settings()) -> list[str]:
+    """Features that are known only if every feature is.
+
+    The longest trailing mean of a zone is known only if all rows it covers are, so
+    shorter windows and the lags inside it need no look; the difference and the ratios
+    answer for the current values and for the ratio policy.
+    """
+    t = spec.target
+    longest = max(settings.target_windows)
+    names = [f"{t}_roll_mean_{longest}h"]
+    names += [f"{t}_lag_{k}" for k in settings.target_lags if k > longest]
+    reach = max(settings.cross_windows)
+    for z in spec.others:
+        names.append(f"{z}_roll_mean_{reach}h")
+        names += [f"{z}_lag_{k}" for k in settings.cross_lags if k > reach]
+    names += [f"{t}_diff_1h", f"{t}_diff_24h", f"{t}_ratio_24h"]
+    return names + [f"{t}_to_{spec.others[0]}_ratio", f"{t}_to_total_ratio"]
+
+
 def drop_warmup(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Only rows on which every named column is known."""
-    return df.dropna(how="any", subset=list(names))
+    known = F.lit(True)
+    for name in names:
+        known = known & F.col(name).isNotNull()
+    return df.filter(known)
 
 
 def build_features(
@@ -186,21 +186,15 @@ def build_features(
     Rows with an unknown feature or target are dropped unless ``drop`` is off.
     """
     layout = panel_layout(df, spec, settings, max_rows, rows_per_chunk)
-    w = layout.window
+    w = WindowColumns(layout.window)
     cols = feature_columns(spec, w, settings, policy)
+    telling = telling_columns(spec, settings)
     if with_target:
-        cols["target"] = F.lead(spec.target, 1).over(w)
-    helpers = [c for c in layout.df.columns if c not in df.columns]
-    out = layout.core(
-        layout.df.select(
-            *spec.keys,
-            spec.ts,
-            *keep,
-            *[col.alias(name) for name, col in cols.items()],
-            *helpers,
-        )
-    )
-    return drop_warmup(out, list(cols)) if drop else out
+        cols["target"] = w.lead(spec.target)
+        telling.append("target")
+    shown = [col.alias(name) for name, col in cols.items()]
+    out = layout.core(w.onto(layout.df)).select(*spec.keys, spec.ts, *keep, *shown)
+    return drop_warmup(out, telling) if drop else out
 
 
 def build_features_online_compat(
@@ -213,16 +207,9 @@ def build_features_online_compat(
 ) -> DataFrame:
     """What the 168-row serving buffer yields: rows from the 168th of a panel on."""
     layout = panel_layout(df, spec, settings, max_rows, rows_per_chunk)
-    w = layout.window
+    w = WindowColumns(layout.window)
     cols = feature_columns(spec, w, settings, convention="online_compat")
-    helpers = [c for c in layout.df.columns if c not in df.columns]
-    out = layout.df.select(
-        *spec.keys,
-        spec.ts,
-        *keep,
-        *[col.alias(name) for name, col in cols.items()],
-        layout.position().alias("_pos"),
-        *helpers,
-    )
-    warm = F.col("_pos") >= settings.history_rows - 1
-    return layout.core(out.filter(warm)).drop("_pos")
+    shown = [col.alias(name) for name, col in cols.items()]
+    placed = w.onto(layout.df).withColumn("_pos", layout.position())
+    warm = layout.core(placed).filter(F.col("_pos") >= settings.history_rows - 1)
+    return warm.select(*spec.keys, spec.ts, *keep, *shown)

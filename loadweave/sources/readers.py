@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadweave.functions.expressions import micros, nan_to_null
-from loadweave.plans.joins import attach
+from loadweave.plans.layout import lay_out
 from loadweave.settings import PanelSpec, Settings
 
 GRAINS = {"day": 86_400_000_000, "hour": 3_600_000_000}
@@ -123,30 +123,46 @@ def densify(
     first: int | None,
     steps: int,
     grain: str,
-    panels: DataFrame | None = None,
+    rows_per_chunk: int | None = None,
 ) -> DataFrame:
     """Every panel on the full calendar; steps or zones without data become 0.0.
 
-    The calendar has a known length, so every panel gets exactly ``steps`` rows.
-    ``panels`` names the panels when they are known without reading the data.
+    ``first`` and ``steps`` are the calendar (see ``span``); every panel gets exactly
+    ``steps`` rows. Each row fills the calendar up to the next one, the first row of a
+    panel also the time before it: no calendar table is joined, and the filled rows
+    stay where their panel is, so windows over the panel need no further shuffle.
     """
     if not steps:
         return panel
-    panels = panel.select(spec.panel).distinct() if panels is None else panels
-    grid = panels.select(
-        spec.panel,
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(steps - 1).cast("long"))).alias("_step"),
-    ).select(
-        spec.panel,
-        F.timestamp_micros(F.lit(first) + F.col("_step") * F.lit(GRAINS[grain]))
-        .cast("timestamp_ntz")
-        .alias(spec.ts),
+    step = F.lit(GRAINS[grain])
+    layout = lay_out(
+        panel,
+        spec.keys,
+        [spec.ts],
+        ahead=1,
+        max_rows=steps,
+        rows_per_chunk=rows_per_chunk,
+    )
+    at = micros(F.col(spec.ts))
+    end = F.lit(first) + F.lit(steps - 1) * step
+    ranged = layout.core(
+        layout.df.withColumns(
+            {
+                "_at": at,
+                "_from": F.when(layout.position() == 0, F.lit(first)).otherwise(at),
+                "_to": F.coalesce(F.lead(at).over(layout.window) - step, end),
+            }
+        )
     )
-    filled = attach(grid, panel, [spec.panel, spec.ts])
+    filled = ranged.withColumn("_step", F.explode(F.sequence("_from", "_to", step)))
+    own = F.col("_step") == F.col("_at")
     return filled.select(
         spec.panel,
-        spec.ts,
-        *[F.coalesce(F.col(z), F.lit(0.0)).alias(z) for z in spec.zones],
+        F.timestamp_micros("_step").cast("timestamp_ntz").alias(spec.ts),
+        *[
+            F.coalesce(F.when(own, F.col(z)), F.lit(0.0)).alias(z)
+            for z in spec.zones
+        ],
     )
 
 
