@@ -82,9 +82,12 @@ def exact_percentiles(
         df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
     )
     layout = lay_out(counts, keys, [value], rows_per_chunk=rows_per_chunk)
-    ranked = layout.core(running(layout, layout.df, "_c", "_upto"))
-    totals = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    ranked = attach(ranked, totals, keys, layout.n_groups)
+    ranked = running(layout, layout.df, {"_upto": "_c"})
+    if layout.split:
+        totals = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))
+        ranked = attach(layout.core(ranked), totals, keys, layout.n_groups)
+    else:
+        ranked = ranked.withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys)))
     found, shown = [], []
     for q, name in zip(points, names):
         exact = F.lit(float(q)) * (F.col("_n") - F.lit(1)).cast("double")
@@ -163,10 +166,7 @@ def cumulative_snapshots(
         max_rows=None if max_rows is None else max_rows // every,
         rows_per_chunk=rows_per_chunk,
     )
-    sums = over.df
-    for t in terms:
-        sums = running(over, sums, t, f"_run{t}")
-    sums = over.core(sums)
+    sums = over.core(running(over, over.df, {f"_run{t}": t for t in terms}))
     totals = sums.select(
         *keys,
         (F.col("snapshot") + F.lit(1)).cast("long").alias("snapshot"),

@@ -42,13 +42,13 @@ def release_schedule(
         spent = F.lit(1.0)
     else:
         rows = layout.df.withColumn("_cost", F.col(cost).cast("double"))
-        rows = running(layout, rows, "_cost", "_through").drop("_cost")
+        rows = running(layout, rows, {"_through": "_cost"}).drop("_cost")
         spent = F.col(cost).cast("double")
     # Times as microseconds: exact in a double for any date.
     pace = F.lit(1e6 / rate)
     now = micros(F.col(ts)).cast("double")
     rows = rows.withColumn("_slack", now - (F.col("_through") - spent) * pace)
-    rows = layout.core(running(layout, rows, "_slack", "_top", "max"))
+    rows = layout.core(running(layout, rows, {"_top": "_slack"}, "max"))
     leave = F.greatest(
         now, F.col("_top") + (F.col("_through") - F.lit(float(capacity))) * pace
     )

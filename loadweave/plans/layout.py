@@ -147,15 +147,18 @@ def lay_out(
     )
 
 
-def running(layout: Layout, df: DataFrame, value: str, out: str, kind: str = "sum") -> DataFrame:
-    """Running sum or max of ``value`` from the first row of the group to each row.
-
-    ``df`` is ``layout.df`` with more columns. With chunks: one partial aggregate per
-    chunk, a running aggregate over that small table, then the local scan on top.
+def running(
+    layout: Layout, df: DataFrame, values: dict[str, str], kind: str = "sum"
+) -> DataFrame:
+    """Running sums or maxima from the first row of the group to each row.
+
+    ``values`` maps new columns to the columns they run over; ``df`` is ``layout.df``
+    with more columns. With chunks: one partial aggregate per chunk, a running
+    aggregate over that small table, then the local scan on top.
     """
     aggregate = {"sum": F.sum, "max": F.max}[kind]
     frame = layout.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = df.withColumn(out, aggregate(value).over(frame))
+    local = df.withColumns({out: aggregate(value).over(frame) for out, value in values.items()})
     if not layout.split:
         return local
     before = (
@@ -163,19 +166,24 @@ def running(layout: Layout, df: DataFrame, value: str, out: str, kind: str = "su
         .orderBy(CHUNK)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    totals = (
+    parts = (
         df.filter(F.col(CORE))
         .groupBy(*layout.group)
-        .agg(aggregate(value).alias("_part"))
-        .withColumn("_before", aggregate("_part").over(before))
-        .drop("_part")
+        .agg(*[aggregate(value).alias(f"_part_{out}") for out, value in values.items()])
+    )
+    totals = parts.select(
+        *layout.group,
+        *[aggregate(f"_part_{out}").over(before).alias(f"_before_{out}") for out in values],
     )
+    whole = {}
+    for out in values:
+        earlier = F.col(f"_before_{out}")
+        if kind == "sum":
+            whole[out] = F.col(out) + F.coalesce(earlier, F.lit(0))
+        else:
+            whole[out] = F.greatest(F.col(out), earlier)
     joined = attach(local, totals, layout.group, layout.n_chunks)
-    if kind == "sum":
-        whole = F.col(out) + F.coalesce(F.col("_before"), F.lit(0))
-    else:
-        whole = F.greatest(F.col(out), F.col("_before"))
-    return joined.withColumn(out, whole).drop("_before")
+    return joined.withColumns(whole).drop(*[f"_before_{out}" for out in values])
 
 
 def _marks(order: Sequence[str]) -> list[str]:

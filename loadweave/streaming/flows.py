@@ -213,19 +213,24 @@ def windowed_batches(
             )
         rows = tail.withColumn("_new", F.lit(False)).unionByName(
             fresh.withColumn("_new", F.lit(True))
-        )
-        made = build_features(
-            rows,
-            spec,
-            settings,
-            keep=("sequence_id", *spec.zones, "_new"),
-            with_target=False,
-            rows_per_chunk=rows_per_chunk,
-        )
-        made.filter("_new").drop("_new").write.mode("overwrite").parquet(f"{out}/batch={number}")
-        latest(rows.drop("_new"), [spec.panel], [spec.ts], need).write.mode(
-            "overwrite"
-        ).parquet(f"{tails}/batch={number}")
+        ).persist()
+        try:
+            made = build_features(
+                rows,
+                spec,
+                settings,
+                keep=("sequence_id", *spec.zones, "_new"),
+                with_target=False,
+                rows_per_chunk=rows_per_chunk,
+            )
+            made.filter("_new").drop("_new").write.mode("overwrite").parquet(
+                f"{out}/batch={number}"
+            )
+            latest(rows.drop("_new"), [spec.panel], [spec.ts], need).write.mode(
+                "overwrite"
+            ).parquet(f"{tails}/batch={number}")
+        finally:
+            rows.unpersist()
 
     return process
 

@@ -16,6 +16,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("loadweave-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .getOrCreate()

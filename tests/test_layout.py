@@ -83,8 +83,8 @@ def test_running_over_chunks(spark, kind):
     df = series(spark)
     plain = lay_out(df, ["p"], ["ts"])
     cut = lay_out(df, ["p"], ["ts"], rows_per_chunk=300)
-    a = running(plain, plain.df, "v", "r", kind)
-    b = cut.core(running(cut, cut.df, "v", "r", kind))
+    a = running(plain, plain.df, {"r": "v"}, kind)
+    b = cut.core(running(cut, cut.df, {"r": "v"}, kind))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
