@@ -511,6 +511,13 @@ def metric_snapshots(spark, sf):
     return r6(evaluation.cumulative_snapshots(results, max_rows=steps))
 
 
+@query
+def snapshot_latency(spark, sf):
+    results, steps = _results(spark, sf)
+    shots = evaluation.cumulative_snapshots(results, latency=True, max_rows=steps)
+    return evaluation.metrics_message_struct(shots)
+
+
 @query
 def rolling_metrics(spark, sf):
     results, steps = _results(spark, sf)

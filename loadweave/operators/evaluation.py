@@ -11,7 +11,7 @@ from loadweave.functions import metrics as M
 from loadweave.functions.expressions import clip_low, price, price_actual
 from loadweave.operators.baselines import BASELINES, baseline_columns
 from loadweave.plans.joins import attach
-from loadweave.plans.layout import lay_out, running
+from loadweave.plans.layout import SKETCH_SIZE, lay_out, running
 from loadweave.plans.windows import WindowColumns
 from loadweave.settings import PanelSpec, Settings
 
@@ -141,22 +141,29 @@ def cumulative_snapshots(
     keys: Sequence[str] = ("panel_id",),
     order: Sequence[str] = ("sequence_id",),
     every: int = 24,
+    latency: bool = False,
     max_rows: int | None = None,
     rows_per_chunk: int | None = None,
 ) -> DataFrame:
     """Errors over results 1..every*k for k = 1, 2, ...; an incomplete tail gives none.
 
     Rows add up to blocks of ``every`` (map-side), blocks to running sums: MAE, RMSE
-    and MAPE are all rebuilt from sums and counts.
+    and MAPE are all rebuilt from sums and counts. ``latency`` adds p50/p95/p99 in
+    milliseconds from quantile sketches merged the same way (about 0.7 % of rank off).
     """
     layout = lay_out(results, keys, order, max_rows=max_rows, rows_per_chunk=rows_per_chunk)
     placed = layout.core(layout.df.withColumn("_pos", layout.position()))
     terms = M.sum_terms(F.col("load_actual_mw"), F.col("load_forecast_mw"), "_l")
     terms |= M.sum_terms(F.col("price_actual_usd_mwh"), F.col("price_forecast_usd_mwh"), "_p")
+    sketch = [F.kll_sketch_agg_bigint("latency_ns", F.lit(SKETCH_SIZE)).alias("_sketch")]
     blocks = (
         placed.withColumns(terms)
         .groupBy(*keys, F.call_function("div", F.col("_pos"), F.lit(every)).alias("snapshot"))
-        .agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(t).alias(t) for t in terms])
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            *[F.sum(t).alias(t) for t in terms],
+            *(sketch if latency else []),
+        )
         .filter(F.col("_rows") == every)
     )
     over = lay_out(
@@ -166,11 +173,19 @@ def cumulative_snapshots(
         max_rows=None if max_rows is None else max_rows // every,
         rows_per_chunk=rows_per_chunk,
     )
-    sums = over.core(running(over, over.df, {f"_run{t}": t for t in terms}))
+    sums = running(over, over.df, {f"_run{t}": t for t in terms})
+    shown = []
+    if latency:
+        sums = running(over, sums, {"_merged": "_sketch"}, "sketch")
+        points = F.array(*[F.lit(q) for q in M.LATENCY_POINTS])
+        found = F.kll_sketch_get_quantile_bigint("_merged", points)
+        shown = [(found[i] / F.lit(1e6)).alias(n) for i, n in enumerate(M.LATENCY_NAMES)]
+    sums = over.core(sums)
     totals = sums.select(
         *keys,
         (F.col("snapshot") + F.lit(1)).cast("long").alias("snapshot"),
         *[F.col(f"_run{t}").alias(t) for t in terms],
+        *shown,
     )
     return totals.select(
         *keys,
@@ -178,6 +193,7 @@ def cumulative_snapshots(
         (F.col("snapshot") * F.lit(every)).alias("events_processed"),
         *M.from_terms("_l", "load_"),
         *M.from_terms("_p", "price_"),
+        *(M.LATENCY_NAMES if latency else ()),
     )
 
 

@@ -147,16 +147,23 @@ def lay_out(
     )
 
 
+SKETCH_SIZE = 400
+
+
+def _merge_sketches(name: str) -> Column:
+    return F.kll_merge_agg_bigint(F.col(name), F.lit(SKETCH_SIZE))
+
+
 def running(
     layout: Layout, df: DataFrame, values: dict[str, str], kind: str = "sum"
 ) -> DataFrame:
-    """Running sums or maxima from the first row of the group to each row.
+    """Running sums, maxima or merged sketches from the first row of the group to each row.
 
     ``values`` maps new columns to the columns they run over; ``df`` is ``layout.df``
     with more columns. With chunks: one partial aggregate per chunk, a running
     aggregate over that small table, then the local scan on top.
     """
-    aggregate = {"sum": F.sum, "max": F.max}[kind]
+    aggregate = {"sum": F.sum, "max": F.max, "sketch": _merge_sketches}[kind]
     frame = layout.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = df.withColumns({out: aggregate(value).over(frame) for out, value in values.items()})
     if not layout.split:
@@ -180,6 +187,9 @@ def running(
         earlier = F.col(f"_before_{out}")
         if kind == "sum":
             whole[out] = F.col(out) + F.coalesce(earlier, F.lit(0))
+        elif kind == "sketch":
+            both = F.kll_sketch_merge_bigint(F.col(out), earlier)
+            whole[out] = F.when(earlier.isNull(), F.col(out)).otherwise(both)
         else:
             whole[out] = F.greatest(F.col(out), earlier)
     joined = attach(local, totals, layout.group, layout.n_chunks)

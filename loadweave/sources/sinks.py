@@ -24,12 +24,18 @@ def write_panel_csv(
 
 
 def write_replay(
-    events: DataFrame, path: str, order: str = "sequence_id", slices: int = 4
+    events: DataFrame,
+    path: str,
+    order: str = "sequence_id",
+    slices: int = 4,
+    panel: str = "panel_id",
 ) -> int:
     """Events as ``slices`` sets of Parquet files, written one after the other in order.
 
-    A file stream reads files by modification time, so micro-batches follow the order.
-    Returns the number of files.
+    A file stream reads files by modification time. Within a slice a panel's rows are
+    in one file, and slices follow each other, so every panel is replayed in order
+    whatever the number of files per micro-batch. Take more slices for more rows: a
+    panel's share of a slice is written by one task. Returns the number of files.
     """
     low, high = events.agg(F.min(order), F.max(order)).first()
     if low is None:
@@ -39,7 +45,7 @@ def write_replay(
         for i in range(slices):
             start = low + i * step
             part = events.filter((F.col(order) >= start) & (F.col(order) < start + step))
-            part.write.mode("append").parquet(path)
+            part.repartition(panel).sortWithinPartitions(order).write.mode("append").parquet(path)
     return len(events.sparkSession.read.parquet(path).inputFiles())
 
 

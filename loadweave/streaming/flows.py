@@ -167,17 +167,36 @@ def stream_messages(results: DataFrame) -> DataFrame:
     return forecast_messages(forecast_errors(results))
 
 
-def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Drain what the source has into Parquet files, exactly once; returns the table."""
-    query = (
-        stream.writeStream.format("parquet")
+def start_sink(
+    stream: DataFrame,
+    checkpoint: str,
+    sink: str = "parquet",
+    options: dict[str, str] | None = None,
+    available_now: bool = True,
+):
+    """Start writing a stream in append mode.
+
+    ``sink`` is any streaming format of the session. For ``kafka`` a table of messages
+    is sent as key (panel) and value (JSON).
+    """
+    if sink == "kafka":
+        stream = stream.select(
+            F.col("panel_id").alias("key"), F.col("message").alias("value")
+        )
+    writer = (
+        stream.writeStream.format(sink)
         .outputMode("append")
-        .option("path", path)
+        .options(**(options or {}))
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Drain what the source has into Parquet files, exactly once; returns the table."""
+    start_sink(stream, checkpoint, options={"path": path}).awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
