@@ -23,8 +23,10 @@ _STATS = {
 class WindowColumns:
     """Collects window columns over one order; ``onto`` adds them to a frame.
 
-    Stage 0 are windows over the data, stage 1 projections of them, stage 2 windows
-    over those projections. All share one partitioning and sort.
+    Stage 0 are trailing frames over the data, stage 1 projections of them, stage 2
+    lags of both. All share one partitioning and sort. Lags come last because they
+    make rows wide, and because Spark walks the rows once per distinct offset: lags of
+    the data and of the frames then share that walk.
     """
 
     def __init__(self, window: WindowSpec) -> None:
@@ -44,10 +46,10 @@ class WindowColumns:
     def lag(self, name: str, k: int) -> Column:
         if k == 0:
             return F.col(name)
-        return self._put(0, f"_w_{name}_lag_{k}", F.lag(name, k).over(self.window))
+        return self._put(2, f"_w_{name}_lag_{k}", F.lag(name, k).over(self.window))
 
     def lead(self, name: str, k: int = 1) -> Column:
-        return self._put(0, f"_w_{name}_lead_{k}", F.lead(name, k).over(self.window))
+        return self._put(2, f"_w_{name}_lead_{k}", F.lead(name, k).over(self.window))
 
     def _framed(self, stat: str, name: str, first: int, last: int) -> Column:
         frame = self.window.rowsBetween(first, last)

@@ -19,6 +19,11 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # The JVM never compiles methods above 8000 bytes of bytecode; a feature projection
+    # fused into one such method runs interpreted. Let Spark split it instead.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    # Window operators keep a chunk of narrow rows in memory before they spill.
+    spark.conf.set("spark.sql.windowExec.buffer.in.memory.threshold", "262144")
     return spark
 
 
