@@ -668,7 +668,7 @@ ORACLE["release_schedule_cost"] = release("cost", 4.0, 1.0 / 7200.0, "cost,")
 ORACLE["request_validation"] = (
     f"WITH {REQUESTS} SELECT request_id, ts, n_values, "
     "CASE WHEN n_values < 168 THEN 'rejected' ELSE 'accepted' END AS status, "
-    "CASE WHEN n_values < 168 THEN 'Need at least 168 hourly values, got ' || n_values || '.' END "
+    "CASE WHEN n_values < 168 THEN 'shortest array has ' || n_values || ' values, 168 needed' END "
     "AS reason FROM checked"
 )
 ORACLE["request_rows"] = (

@@ -24,7 +24,7 @@ def select_required(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Keep exactly ``columns``; name all that are missing."""
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        raise MissingColumns(f"Missing required columns: {missing}")
+        raise MissingColumns(f"the panel lacks the columns {missing}")
     return df.select(*columns)
 
 
@@ -48,13 +48,13 @@ def read_panel_csv(
     try:
         names = spark.read.option("header", True).csv(path).columns
     except AnalysisException as error:
-        raise FileNotFoundError(f"Dataset not found at {path}") from error
+        raise FileNotFoundError(f"no readable CSV at {path}") from error
     wanted = {settings.datetime_col: T.StringType()} | {
         zone: T.DoubleType() for zone in settings.zones
     }
     missing = [c for c in wanted if c not in names]
     if missing:
-        raise MissingColumns(f"Missing required columns: {missing}")
+        raise MissingColumns(f"the panel lacks the columns {missing}")
     schema = T.StructType([T.StructField(n, wanted.get(n, T.StringType())) for n in names])
     raw = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
     place = F.struct(
@@ -127,59 +127,66 @@ def densify(
 ) -> DataFrame:
     """Every panel on the full calendar; steps or zones without data become 0.0.
 
-    ``first`` and ``steps`` are the calendar (see ``span``); every panel gets exactly
-    ``steps`` rows. Each row fills the calendar up to the next one, the first row of a
+    ``first`` and ``steps`` are the calendar (see ``span``) and rows lie on its steps, so
+    every panel gets exactly ``steps`` rows. Each row fills the calendar up to the next one, the first row of a
     panel also the time before it: no calendar table is joined, and the filled rows
     stay where their panel is, so windows over the panel need no further shuffle.
     """
     if not steps:
         return panel
-    step = F.lit(GRAINS[grain])
-    layout = lay_out(
-        panel,
-        spec.keys,
-        [spec.ts],
-        ahead=1,
-        max_rows=steps,
-        rows_per_chunk=rows_per_chunk,
-    )
-    at = micros(F.col(spec.ts))
-    end = F.lit(first) + F.lit(steps - 1) * step
-    ranged = layout.core(
-        layout.df.withColumns(
-            {
-                "_at": at,
-                "_from": F.when(layout.position() == 0, F.lit(first)).otherwise(at),
-                "_to": F.coalesce(F.lead(at).over(layout.window) - step, end),
-            }
-        )
-    )
-    filled = ranged.withColumn("_step", F.explode(F.sequence("_from", "_to", step)))
+    rows = _stepped(panel, spec, grain, (first, steps), steps, rows_per_chunk)
     own = F.col("_step") == F.col("_at")
-    return filled.select(
+    return rows.select(
         spec.panel,
         F.timestamp_micros("_step").cast("timestamp_ntz").alias(spec.ts),
-        *[
-            F.coalesce(F.when(own, F.col(z)), F.lit(0.0)).alias(z)
-            for z in spec.zones
-        ],
+        *[F.coalesce(F.when(own, F.col(z)), F.lit(0.0)).alias(z) for z in spec.zones],
     )
 
 
 def regularize(
-    panel: DataFrame, spec: PanelSpec, grain: str = "hour"
+    panel: DataFrame,
+    spec: PanelSpec,
+    grain: str = "hour",
+    max_rows: int | None = None,
+    rows_per_chunk: int | None = None,
 ) -> DataFrame:
-    """Put back missing steps of every panel as NULL rows (gaps stay visible)."""
-    bounds = panel.groupBy(spec.panel).agg(
-        F.min(micros(F.col(spec.ts))).alias("_a"), F.max(micros(F.col(spec.ts))).alias("_b")
+    """Put back the missing steps between the rows of every panel as NULL rows."""
+    rows = _stepped(panel, spec, grain, None, max_rows, rows_per_chunk)
+    own = F.col("_step") == F.col("_at")
+    others = [c for c in panel.columns if c not in (spec.panel, spec.ts)]
+    return rows.select(
+        spec.panel,
+        F.timestamp_micros("_step").cast("timestamp_ntz").alias(spec.ts),
+        *[F.when(own, F.col(c)).alias(c) for c in others],
     )
-    steps = bounds.select(
-        spec.panel, F.explode(F.sequence("_a", "_b", F.lit(GRAINS[grain]))).alias("_at")
+
+
+def _stepped(
+    panel: DataFrame,
+    spec: PanelSpec,
+    grain: str,
+    calendar: tuple[int, int] | None,
+    max_rows: int | None,
+    rows_per_chunk: int | None,
+) -> DataFrame:
+    """Each row repeated for every step up to the next row: its own time is ``_at``, the
+    step's ``_step``. With a ``calendar`` (first step, number of steps) also for the
+    steps before a panel's first row and after its last one."""
+    step = F.lit(GRAINS[grain])
+    layout = lay_out(
+        panel, spec.keys, [spec.ts], ahead=1, max_rows=max_rows, rows_per_chunk=rows_per_chunk
     )
-    grid = steps.select(
-        spec.panel, F.timestamp_micros("_at").cast("timestamp_ntz").alias(spec.ts)
+    at = micros(F.col(spec.ts))
+    start, end = at, at
+    if calendar is not None:
+        first, steps = F.lit(calendar[0]), F.lit(calendar[1] - 1)
+        start = F.when(layout.position() == 0, first).otherwise(at)
+        end = first + steps * step
+    until = F.coalesce(F.lead(at).over(layout.window) - step, end)
+    ranged = layout.core(
+        layout.df.withColumns({"_at": at, "_from": start, "_to": F.greatest(at, until)})
     )
-    return grid.join(panel, [spec.panel, spec.ts], "left")
+    return ranged.withColumn("_step", F.explode(F.sequence("_from", "_to", step)))
 
 
 def series_from_long(

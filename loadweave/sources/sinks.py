@@ -63,7 +63,7 @@ def load_model(spark: SparkSession, path: str) -> PipelineModel:
     try:
         spark.read.text(f"{path.rstrip('/')}/metadata")
     except AnalysisException as error:
-        raise FileNotFoundError(f"Model not found at {path}") from error
+        raise FileNotFoundError(f"no saved model at {path}") from error
     return PipelineModel.load(path)
 
 

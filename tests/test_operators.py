@@ -117,8 +117,11 @@ def test_densify_and_regularize(spark):
         assert dense.count() == 10
         assert [got["p", h] for h in range(2, 7)] == [3.0, 4.0, 0.0, 0.0, 7.0]
         assert [got["q", h] for h in range(2, 7)] == [0.0, 0.0, 0.0, 9.0, 0.0]
-    whole = readers.regularize(df, ONE)
-    assert whole.count() == 6 and whole.filter("v is null").count() == 2
+    for chunk in (None, 1):
+        whole = readers.regularize(df, ONE, rows_per_chunk=chunk)
+        assert whole.count() == 6 and whole.filter("v is null").count() == 2
+    twice = df.unionByName(panel(spark, [("q", 5, 1, 8.0, 8.0)]))
+    assert readers.regularize(twice, ONE).count() == 7
 
 
 def test_settings_from_env():
@@ -357,5 +360,5 @@ def test_request_validation(spark):
     table = request_table(spark, 168).withColumn("dom", F.slice("dom", 1, 167))
     row = requests.validate_requests(table, SIX).first()
     assert (row.status, row.n_values) == ("rejected", 167)
-    assert row.reason == "Need at least 168 hourly values, got 167."
+    assert row.reason == "shortest array has 167 values, 168 needed"
     assert requests.request_features(table, SIX).count() == 0
