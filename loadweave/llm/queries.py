@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadweave.llm import bpe, budget_mix, dac, token_counts
+from loadweave.llm import bpe, budget_mix, dac, simhash_links, suffix_dedup, token_counts
 from loadweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +38,15 @@ def op7_token_file(spark, sf):
 def op8_budget_mix(spark, sf):
     mixed = budget_mix.mix(table(spark, sf, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op10_simhash_components(spark, sf):
+    found = simhash_links.near_components(table(spark, sf, "documents"))
+    fingerprint = simhash_links.hex_fingerprint("_fp").alias("fingerprint")
+    return found.select("doc_id", fingerprint, "component_id")
+
+
+@query
+def op1_suffix_dedup(spark, sf):
+    return suffix_dedup.dedup_digests(table(spark, sf, "documents"))
