@@ -35,11 +35,12 @@ LENGTH = 200
 GRAM = 32
 #: Period of the difference cover and its square root; comparisons by rank start within it.
 COVER, STEP = 64, 8
-#: Bytes of text hashed at once, sorted at once, suffixes of a bucket, contexts of a block.
+#: Bytes of text hashed at once, sorted at once (whole blocks, so up to GROUP contexts of at most
+#: 368 bytes more), suffixes of a bucket, contexts of a block.
 PIECE = 1 << 18
 BLOCK = 1 << 20
 BUCKET = 1 << 16
-GROUP = 1024
+GROUP = 12_000
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
