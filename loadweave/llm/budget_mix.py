@@ -119,6 +119,7 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    keep_hash: bool = False,
 ) -> DataFrame:
     """id, source, size, source_size, target and taken (whole copies of the row, in words)."""
     spark = prepare(docs.sparkSession)
@@ -168,9 +169,40 @@ def mix(
         F.col("_source_size").alias("source_size"),
         F.col("_target").alias("target"),
         (F.col("_size") * (F.col("_every") + F.col("_extra"))).alias("taken"),
+        *([(F.col("_every") + F.col("_extra")).alias("times"), F.col("_hash")] if keep_hash else []),
     )
 
 
+def mixed_rows(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    **settings,
+) -> DataFrame:
+    """The rows of ``docs`` (all columns), each as often as the mix takes it.
+
+    A row of size 0 is taken as an even share would take it: once if its source is taken
+    whole, else not. Rows that share id, source and text hash share what is taken of them.
+    """
+    taken = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, keep_hash=True, **settings)
+    counts = stored(
+        taken.groupBy(F.col(id_col).alias("_i"), F.col("_hash").alias("_h")).agg(
+            F.sum("times").alias("_times"), F.count("*").alias("_same")
+        ),
+        "mix-times",
+    )
+    own = F.xxhash64(F.lit(settings.get("seed", 42)), docs[id_col], docs[text_col])
+    same = docs[id_col].eqNullSafe(counts["_i"]) & (own == counts["_h"])
+    joined = docs.join(counts, same)
+    if counts.where("_same > 1").limit(1).count():
+        # rows alike in id and text: the times taken are dealt to them in turn
+        turn = Window.partitionBy("_i", "_h").orderBy(*[F.col(c) for c in docs.columns if c != text_col])
+        k = F.row_number().over(turn) - 1
+        joined = joined.withColumn("_times", F.floor((F.col("_times") + F.col("_same") - 1 - k) / F.col("_same")))
+    return joined.where("_times > 0").withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*docs.columns)
+
+
 def _select(rows: DataFrame, plans: DataFrame) -> DataFrame:
     """Every row with ``_extra``: 1 for the ``_more`` rows of its length that come first."""
     key = [F.coalesce(F.col("_source"), F.lit("")), F.col("_source").isNull(), F.col("_size")]
@@ -192,7 +224,7 @@ def _select(rows: DataFrame, plans: DataFrame) -> DataFrame:
         "_row", F.row_number().over(Window.partitionBy("_k", "_piece").orderBy("_hash", "_id"))
     )
     clear = dealt.where(~F.coalesce(cut, F.lit(False)))
-    kept = ["_id", "_source", "_size", "_source_size", "_target", "_every"]
+    kept = ["_id", "_source", "_size", "_source_size", "_target", "_every", "_hash"]
     first = ranked.select(*kept, (F.col("_row") <= F.col("_left")).cast("long").alias("_extra"))
     rest = clear.select(
         *kept,

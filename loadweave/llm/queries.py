@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadweave.llm import bpe, budget_mix, dac, simhash_links, suffix_dedup, token_counts
+from loadweave.llm import (
+    bloom_sketch,
+    bpe,
+    budget_mix,
+    compression_quality,
+    dac,
+    perplexity,
+    simhash_links,
+    suffix_dedup,
+    token_counts,
+    wrappers,
+)
 from loadweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +30,24 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_suffix_dedup(spark, sf):
+    return suffix_dedup.dedup_digests(table(spark, sf, "documents"))
+
+
+@query
+def op2_quality_rules(spark, sf):
+    found = perplexity.judged(table(spark, sf, "documents"))
+    base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select(*base, "base_failed", "kept", "log_perplexity")
+
+
+@query
+def op3_compression_quality(spark, sf):
+    docs = table(spark, sf, "documents")
+    return compression_quality.score(docs, compression_quality.fit(docs, table(spark, sf, "labels")))
+
+
 @query
 def op4_bpe_codec(spark, sf):
     return bpe.token_digests(table(spark, sf, "documents"), "word_bpe_49k.json")
@@ -29,6 +58,11 @@ def op5_token_counts(spark, sf):
     return token_counts.count_tokens(table(spark, sf, "documents"), "piece_bpe_32k.model")
 
 
+@query
+def op6_version_sketch(spark, sf):
+    return bloom_sketch.version_fingerprints(table(spark, sf, "documents"))
+
+
 @query
 def op7_token_file(spark, sf):
     return dac.token_file_digests(table(spark, sf, "documents"), "byte_bpe_50k.json", end_id=2)
@@ -40,6 +74,11 @@ def op8_budget_mix(spark, sf):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op9_page_articles(spark, sf):
+    return wrappers.extract(table(spark, sf, "pages"))
+
+
 @query
 def op10_simhash_components(spark, sf):
     found = simhash_links.near_components(table(spark, sf, "documents"))
@@ -47,6 +86,10 @@ def op10_simhash_components(spark, sf):
     return found.select("doc_id", fingerprint, "component_id")
 
 
-@query
-def op1_suffix_dedup(spark, sf):
-    return suffix_dedup.dedup_digests(table(spark, sf, "documents"))
+def _pipeline(spark, sf):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
+
+
+QUERIES["pipeline"] = _pipeline
