@@ -2,7 +2,7 @@
 
 Spark counts the documents of every source by exact length. A source whose target is at
 least its size takes every document once; what is left of the target is the remaining
-budget. Of each length the budget's share is taken first (rounded down), then the longest
+budget. (Where long documents leave a gap, all copies are planned together instead.) Of each length the budget's share is taken first (rounded down), then the longest
 lengths that still fit, until at most ``TABLE`` words are left; those are met by a bounded
 knapsack over the documents not yet taken (and, to be able to hit the sum, over some that
 are given back). The plan of a source is a table of at most one row per length: about the
@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadweave.llm.common import n_words, prepare, stored
+from loadweave.llm.common import n_words, prepare, sealed, stored
 
 #: Words that the knapsack table covers, and documents of one length dealt to one piece.
 TABLE = 1 << 16
@@ -150,7 +150,15 @@ def mix(
         lengths, counts = group["_size"].to_numpy(np.int64), group["_count"].to_numpy(np.int64)
         target, size = int(group["_target"].iloc[0]), int((lengths * counts).sum())
         every, rest = divmod(target, size) if size else (0, 0)
-        return group.assign(_every=every, _more=fit(lengths, counts, rest))
+        more = fit(lengths, counts, rest)
+        gap = rest - int((lengths * more).sum())
+        copies = int(most)
+        if gap > 0.001 * target and every < copies:
+            # few long documents: let second copies of short ones fill what they leave open
+            free = fit(lengths, copies * counts, target)
+            if target - int((lengths * free).sum()) < gap:
+                every, more = free // counts, free % counts
+        return group.assign(_every=every, _more=more)
 
     plans = (
         by_length.join(F.broadcast(listed), by_length["_source"].eqNullSafe(listed["_source"]))
@@ -185,6 +193,8 @@ def mixed_rows(
     A row of size 0 is taken as an even share would take it: once if its source is taken
     whole, else not. Rows that share id, source and text hash share what is taken of them.
     """
+    docs, names, back = sealed(docs)
+    id_col, text_col, source_col = names[id_col], names[text_col], names[source_col]
     taken = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, keep_hash=True, **settings)
     counts = stored(
         taken.groupBy(F.col(id_col).alias("_i"), F.col("_hash").alias("_h")).agg(
@@ -200,7 +210,8 @@ def mixed_rows(
         turn = Window.partitionBy("_i", "_h").orderBy(*[F.col(c) for c in docs.columns if c != text_col])
         k = F.row_number().over(turn) - 1
         joined = joined.withColumn("_times", F.floor((F.col("_times") + F.col("_same") - 1 - k) / F.col("_same")))
-    return joined.where("_times > 0").withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*docs.columns)
+    every = F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))
+    return back(joined.where("_times > 0").withColumn("_times", every))
 
 
 def _select(rows: DataFrame, plans: DataFrame) -> DataFrame:

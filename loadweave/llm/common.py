@@ -60,6 +60,18 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def sealed(docs: DataFrame):
+    """``docs`` under names of its own, so that none clashes with an inner column; the new
+    name of each column; and the way back to the old names."""
+    inner = docs.toDF(*[f"sealed_{i}_" for i in range(len(docs.columns))])
+    names = dict(zip(docs.columns, inner.columns))
+
+    def back(df: DataFrame) -> DataFrame:
+        return df.select(*inner.columns).toDF(*docs.columns)
+
+    return inner, names, back
+
+
 def append_columns(
     df: DataFrame, text_col: str, fn: Callable[[list[bytes]], dict[str, object]], schema: str
 ) -> DataFrame:

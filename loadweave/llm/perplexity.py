@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadweave.llm.common import append_columns, byte_texts, mix, prepare, stored, texts
+from loadweave.llm.common import append_columns, byte_texts, mix, prepare, sealed, stored, texts
 
 ORDER = 5
 PAD, END = 2, 3
@@ -354,22 +354,27 @@ def _median(bins: DataFrame, value: str) -> DataFrame:
     return summed.where("2 * _up >= _all").groupBy("_lang").agg(F.min(value).alias("_middle"))
 
 
-def judged(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """Every row with the rules' figures, its language's band and ``kept``.
+def judged(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", keep: bool = False) -> DataFrame:
+    """doc_id, lang, the rules' figures, the language's band and ``kept`` of every row.
 
-    With ``keep`` the columns of ``docs`` stay and only kept rows; else they go but for ids.
+    With ``keep``: the kept rows themselves, with all their columns.
     """
     prepare(docs.sparkSession)
+    if keep:
+        docs, names, back = sealed(docs)
+        lang_col, text_col = names[lang_col], names[text_col]
     tables = probabilities(docs, text_col)
     if keep:
         slim = stored(measured(docs.select(lang_col, text_col), tables, text_col).drop(text_col), "rules")
         rows = measured(docs, tables, text_col)
     else:
-        rows = slim = stored(measured(docs, tables, text_col).drop(text_col), "rules")
+        slim = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+        rows = slim = stored(measured(slim, tables, "text").drop("text"), "rules")
+        lang_col = "lang"
     band = stored(bands(slim, lang_col), "bands")
     joined = rows.join(F.broadcast(band) if band.count() <= 1000 else band, F.col(lang_col).eqNullSafe(F.col("_lang")), "left")
     inside = F.coalesce(F.col("log_perplexity").between(F.col("_low"), F.col("_high")), F.lit(True))
     joined = joined.withColumn("kept", ~F.col("base_failed") & inside)
     if keep:
-        return joined.where("kept").select(*docs.columns)
+        return back(joined.where("kept"))
     return joined.drop("_lang")

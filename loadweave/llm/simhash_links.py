@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadweave.llm.common import append_columns, byte_texts, map_batches, prepare, stored
+from loadweave.llm.common import append_columns, byte_texts, map_batches, prepare, sealed, stored
 from loadweave.llm.components import components
 
 WORDS = 4
@@ -319,6 +319,8 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     those that share it. A component without an id keeps one row by the same rule.
     """
     prepare(docs.sparkSession)
+    docs, names, back = sealed(docs)
+    id_col, text_col = names[id_col], names[text_col]
     marked = append_columns(
         docs, text_col, lambda t: {"_fp": _signed([fingerprint(x) for x in t])}, "_fp long"
     )
@@ -329,6 +331,6 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "simhash-kept",
     )
     if slim.groupBy("_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count() == 0:
-        return docs.join(chosen, docs[id_col].eqNullSafe(chosen["_kept"]), "left_semi")
+        return back(docs.join(chosen, docs[id_col].eqNullSafe(chosen["_kept"]), "left_semi"))
     same = marked[id_col].eqNullSafe(chosen["_kept"]) & (marked["_fp"] == chosen["_kept_fp"])
-    return marked.join(chosen, same).dropDuplicates(["_root"]).select(*docs.columns)
+    return back(marked.join(chosen, same).dropDuplicates(["_root"]))

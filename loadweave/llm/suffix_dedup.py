@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadweave.llm.common import arrow_schema, byte_texts, mix, prepare, stored
+from loadweave.llm.common import arrow_schema, byte_texts, mix, prepare, sealed, stored
 
 LENGTH = 200
 GRAM = 32
@@ -492,6 +492,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A null text stays null.
     """
     prepare(docs.sparkSession)
+    docs, inner, back = sealed(docs)
+    id_col, text_col = inner[id_col], inner[text_col]
     listed = runs_of_rows(docs, id_col, text_col)
     own, tag = row_keys(docs, id_col, text_col)
     runs = listed.select(F.col("doc").alias("_rdoc"), F.col("tag").alias("_rtag"), "_runs")
@@ -511,5 +513,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             columns[at] = pa.array(made, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return joined.select(*docs.columns, "_runs").mapInArrow(run, docs.schema)
+    return back(joined.select(*docs.columns, "_runs").mapInArrow(run, docs.schema))
 
