@@ -203,7 +203,7 @@ def test_sketch_recovers_any_difference():
 
 
 def test_mix(table_of, odd_rows):
-    rows = odd_rows + [(100 + i, "w " * (i % 17 + 1)) for i in range(300)]
+    rows = [r for r in odd_rows if len(r[1] or "") < 5000] + [(100 + i, "w " * (i % 17 + 1)) for i in range(300)]
     docs = table_of(rows)
     got = budget_mix.mix(docs).collect()
     assert sorted(map(tuple, got), key=KEY) == rows_of(budget_mix.mix(docs))
