@@ -13,6 +13,7 @@ import argparse
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loadweave.operators import cleaning, evaluation, forecasting, quality, splits
 from loadweave.session import configure, scratch_path
@@ -75,11 +76,13 @@ def stream(spark: SparkSession, settings: Settings, out: str, slices: int) -> No
         scratch_path(spark, "forecast-checkpoint"),
     )
     errors = evaluation.forecast_errors(results)
-    sinks.forecast_messages(errors).select("message").write.text(f"{out}/forecast_messages")
+    sinks.forecast_messages(errors).write.json(f"{out}/forecast_messages")
     shots = evaluation.cumulative_snapshots(
         results, every=settings.snapshot_every, latency=True
     )
-    sinks.metrics_messages(shots).select("message").write.text(f"{out}/metrics_messages")
+    totals = results.groupBy("panel_id").agg(F.count("*").alias("total_events"))
+    shots = shots.join(totals, "panel_id")
+    sinks.metrics_messages(shots).write.json(f"{out}/metrics_messages")
     sinks.write_report(evaluation.final_metrics(results), f"{out}/stream_report")
 
 

@@ -47,20 +47,6 @@ def error_metrics(actual: Column, predicted: Column, prefix: str = "") -> list[C
     ]
 
 
-def latency_sketch(latency_ns: Column, accuracy: int = 10000) -> list[Column]:
-    """p50/p95/p99 in milliseconds from a sketch of bounded size; 0 without rows.
-
-    For exact interpolated percentiles of any group size see
-    ``operators.evaluation.exact_percentiles``.
-    """
-    points = F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99))
-    found = F.percentile_approx(latency_ns.cast("double"), points, accuracy)
-    return [
-        F.coalesce(found[i] / F.lit(1e6), F.lit(0.0)).alias(name)
-        for i, name in enumerate(LATENCY_NAMES)
-    ]
-
-
 def sum_terms(actual: Column, predicted: Column, prefix: str) -> dict[str, Column]:
     """Per-row terms whose sums and counts rebuild MAE, RMSE and MAPE anywhere."""
     both = _both(actual, predicted)

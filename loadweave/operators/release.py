@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loadweave.functions.expressions import micros
 from loadweave.plans.layout import lay_out, running
+from loadweave.settings import Settings
 
 
 def release_schedule(
@@ -16,8 +17,8 @@ def release_schedule(
     keys: Sequence[str],
     ts: str,
     tie: str,
-    capacity: float,
-    rate: float,
+    capacity: float = Settings.bucket_capacity,
+    rate: float = Settings.bucket_refill_rate,
     cost: str | None = None,
     max_rows: int | None = None,
     rows_per_chunk: int | None = None,

@@ -165,6 +165,8 @@ def running(
     """
     aggregate = {"sum": F.sum, "max": F.max, "sketch": _merge_sketches}[kind]
     frame = layout.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if layout.split:  # rows of the neighbouring chunk were counted there
+        values = {out: F.when(F.col(CORE), _column(value)) for out, value in values.items()}
     local = df.withColumns({out: aggregate(value).over(frame) for out, value in values.items()})
     if not layout.split:
         return local
@@ -196,6 +198,10 @@ def running(
     return joined.withColumns(whole).drop(*[f"_before_{out}" for out in values])
 
 
+def _column(value):
+    return F.col(value) if isinstance(value, str) else value
+
+
 def _marks(order: Sequence[str]) -> list[str]:
     return [f"_leaf{i}" for i in range(len(order))]
 

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
-import zipfile
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = (
@@ -22,8 +23,9 @@ def configure(spark: SparkSession) -> SparkSession:
     # The JVM never compiles methods above 8000 bytes of bytecode; a feature projection
     # fused into one such method runs interpreted. Let Spark split it instead.
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
-    # Window operators keep a chunk of narrow rows in memory before they spill.
-    spark.conf.set("spark.sql.windowExec.buffer.in.memory.threshold", "262144")
+    # Window operators keep a small panel in memory before they spill: at some 90 doubles a
+    # row this is about 12 MB for each window of a task.
+    spark.conf.set("spark.sql.windowExec.buffer.in.memory.threshold", "16384")
     return spark
 
 
@@ -60,23 +62,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_SHIPPED: set[str] = set()
-
-
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers (needed by the stateful operators)."""
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(tempfile.mkdtemp(prefix="loadweave-py-"), "loadweave.zip")
-    with zipfile.ZipFile(target, "w") as archive:
-        for folder, _, names in os.walk(root):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    archive.write(
-                        full, os.path.relpath(full, os.path.dirname(root))
-                    )
-    spark.sparkContext.addPyFile(target)
-    _SHIPPED.add(app)
+    """Pickle this package by value: stateful operators run wherever their workers start,
+    on executors and on the driver, without the package on their path."""
+    package = sys.modules[__package__]
+    if package.__name__ not in cloudpickle.list_registry_pickle_by_value():
+        cloudpickle.register_pickle_by_value(package)

@@ -35,9 +35,10 @@ class Settings:
     bucket_refill_rate: float = 5.0
     snapshot_every: int = 24
 
-    # Learner (Spark ML boosted trees; grows by depth, stops by tolerance).
+    # Learner (Spark ML boosted trees; grows by depth, stops by patience on held-out rows).
     model_path: str = "artifacts/load_model"
-    trees: int = 20
+    trees: int = 60
+    patience: int = 10
     tree_depth: int = 5
     learning_rate: float = 0.1
     model_seed: int = 42

@@ -42,7 +42,7 @@ def read_panel_csv(
     """A header CSV of hourly zone loads as a panel: panel_id, ingest_seq, ts, zones.
 
     Only the timestamp and zone columns are kept, in lower case. A missing file is
-    an error. ``ingest_seq`` orders rows by file, block and position in the block (not
+    an error, and so is a file whose header has the columns in another order. ``ingest_seq`` orders rows by file, block and position in the block (not
     by the order in which tasks read them) and decides which duplicate is the last.
     """
     try:
@@ -56,7 +56,7 @@ def read_panel_csv(
     if missing:
         raise MissingColumns(f"the panel lacks the columns {missing}")
     schema = T.StructType([T.StructField(n, wanted.get(n, T.StringType())) for n in names])
-    raw = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    raw = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
     place = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),

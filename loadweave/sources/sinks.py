@@ -104,7 +104,10 @@ METRICS_SCHEMA = (
 
 
 def metrics_messages(snapshots: DataFrame, keep: tuple[str, ...] = ("panel_id",)) -> DataFrame:
-    """One JSON message per snapshot; the window label says what the numbers are."""
+    """One JSON message per snapshot; the window label says what the numbers are.
+
+    A ``total_events`` column of the snapshots (the length of a bounded replay) is passed on.
+    """
     latency = [c for c in ("p99_ms",) if c in snapshots.columns]
     body = F.struct(
         F.lit("metrics_update").alias("type"),
@@ -116,6 +119,7 @@ def metrics_messages(snapshots: DataFrame, keep: tuple[str, ...] = ("panel_id",)
         "price_rmse",
         "price_mape",
         "events_processed",
+        *[F.col(c) for c in ("total_events",) if c in snapshots.columns],
         *[F.col(c).alias(f"latency_{c}") for c in latency],
     )
     return snapshots.select(*keep, F.to_json(body).alias("message"))

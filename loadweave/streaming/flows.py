@@ -19,7 +19,13 @@ from loadweave.functions.expressions import (
     ratio,
 )
 from loadweave.operators.evaluation import forecast_errors, latest, two_stage
-from loadweave.operators.features import build_features, feature_names, history_rows
+from loadweave.operators.features import (
+    build_features,
+    drop_warmup,
+    feature_names,
+    history_rows,
+    telling_columns,
+)
 from loadweave.operators.forecasting import score
 from loadweave.plans.joins import attach
 from loadweave.session import ROCKSDB_PROVIDER, ship_package
@@ -102,7 +108,7 @@ def online_features(
     }
     out = made.withColumns(extra)
     tail = [nan_to_null(F.col("target")).alias("target")] if mode == "label" else []
-    return out.select(
+    shown = out.select(
         spec.panel,
         spec.ts,
         "sequence_id",
@@ -110,6 +116,10 @@ def online_features(
         *feature_names(spec, settings),
         *tail,
     )
+    if convention == "online_compat":
+        return shown
+    # as in batch, a row with an unknown feature or target leaves no features
+    return drop_warmup(shown, telling_columns(spec, settings) + (["target"] if tail else []))
 
 
 def stream_forecast(

@@ -41,6 +41,16 @@ def test_label_mode_equals_batch(spark):
     same(got.select(*SHOWN, "target"), want.select(*SHOWN, "target"))
 
 
+def test_missing_readings_leave_the_same_rows_as_in_batch(spark):
+    rows = two_panels(spark).withColumn("pjme", F.when(F.col("sequence_id") != 250, F.col("pjme")))
+    got = drain(spark, flows.online_features(replay(spark, rows), SIX, mode="label"))
+    want = build_features(rows, SIX, keep=("sequence_id",))
+    same(got.select(*SHOWN, "target"), want.select(*SHOWN, "target"))
+    served = drain(spark, flows.online_features(replay(spark, rows), SIX))
+    unlabelled = build_features(rows, SIX, keep=("sequence_id",), with_target=False)
+    same(served.select(*SHOWN), unlabelled.select(*SHOWN))
+
+
 def test_serve_mode_and_compat(spark):
     rows = two_panels(spark)
     got = drain(spark, flows.online_features(replay(spark, rows), SIX))
