@@ -172,12 +172,15 @@ def _long(value: int) -> int:
 
 def probes(points: DataFrame, parts: list[tuple[int, int, list[int]]]) -> DataFrame:
     """part, key, _fp: the value of each fingerprint in each partition, and those near it."""
-    rows = []
-    for part, mask, flips in parts:
+    def of(part: int, mask: int, flips: list[int]):
+        # the lambda takes one argument: a second one would be given the place in the array
         value = F.col("_fp").bitwiseAND(F.lit(_long(mask)))
         listed = F.lit([_long(f) for f in flips]).cast("array<bigint>")
-        keys = F.transform(listed, lambda f, v=value: v.bitwiseXOR(f))
-        rows.append(F.transform(keys, lambda k, p=part: F.struct(F.lit(p).alias("part"), k.alias("key"))))
+        return F.transform(
+            listed, lambda f: F.struct(F.lit(part).alias("part"), value.bitwiseXOR(f).alias("key"))
+        )
+
+    rows = [of(*p) for p in parts]
     every = rows[0] if len(rows) == 1 else F.concat(*rows)
     return points.select("_fp", F.explode(every).alias("_at")).select("_at.part", "_at.key", "_fp")
 

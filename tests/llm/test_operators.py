@@ -119,6 +119,13 @@ def test_allocation_covers_all_pairs():
         assert sum(simhash_links.allocate(groups, sample, 10**6)[1]) == simhash_links.BITS - m + 1
 
 
+def test_probes_are_the_values_near_each_fingerprint(spark):
+    points = spark.createDataFrame([(0b1011,), (-1,)], "_fp long")
+    got = simhash_links.probes(points, [(0, 0b0011, [0]), (3, 0b1100, [0, 0b0100, 0b1000])])
+    want = [(0, 3, 11), (3, 8, 11), (3, 12, 11), (3, 0, 11), (0, 3, -1), (3, 12, -1), (3, 8, -1), (3, 4, -1)]
+    assert rows_of(got) == sorted(want)
+
+
 def test_keep_one_of_each(table_of, odd_rows):
     docs = table_of(odd_rows)
     kept = simhash_links.keep_one_of_each(docs)
