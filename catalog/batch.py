@@ -236,6 +236,17 @@ def row_index(spark, sf):
     return splits.row_index(events, ["panel_id"], EVENT_ORDER)
 
 
+@query
+def row_index_chunked(spark, sf):
+    """The plan for long groups: about 16 chunks at any size."""
+    events = _event_log(spark, sf).select("panel_id", "ts", "event_id")
+    return splits.row_index(events, ["panel_id"], EVENT_ORDER, rows_per_chunk=_sixteenth(events))
+
+
+def _sixteenth(df):
+    return max(16, df.count() // 16)
+
+
 @query
 def chrono_split(spark, sf):
     events = _event_log(spark, sf).select("panel_id", "ts", "event_id")
@@ -386,6 +397,12 @@ def feature_matrix_ieee(spark, sf):
     return r6(_features(spark, sf, "ieee")[0])
 
 
+@query
+def feature_matrix_chunked(spark, sf):
+    panel, _ = X.panel_daily(spark, sf)
+    return r6(features.build_features(panel, DAILY, policy="fallback", rows_per_chunk=400))
+
+
 @query
 def features_online_compat(spark, sf):
     panel, steps = X.panel_daily(spark, sf)
@@ -493,6 +510,17 @@ def baseline_eval_current(spark, sf):
     return _baseline_eval(spark, sf, "af", "current")
 
 
+@query
+def current_beats_all(spark, sf):
+    """Whether the value of the row itself, as a forecast, beats all shifted baselines."""
+    rows, steps = _features(spark, sf, keep=("af",))
+    ours = evaluation.error_table(rows, ["panel_id"], "target", "af")
+    baselines = evaluation.evaluate_baselines(
+        rows, ["panel_id"], ["ts"], "target", "af_lag_1", max_rows=steps
+    )
+    return r6(evaluation.beats_all(ours, baselines, ["panel_id"]))
+
+
 @query
 def baseline_eval_suppliers(spark, sf):
     """The feature matrix of every supplier's panel, scored by the baselines."""
@@ -511,6 +539,11 @@ def metric_snapshots(spark, sf):
     return r6(evaluation.cumulative_snapshots(results, max_rows=steps))
 
 
+@query
+def metric_snapshots_chunked(spark, sf):
+    return r6(evaluation.cumulative_snapshots(_results(spark, sf)[0], rows_per_chunk=30))
+
+
 @query
 def snapshot_latency(spark, sf):
     results, steps = _results(spark, sf)
@@ -551,6 +584,15 @@ def release_schedule(spark, sf):
     )
 
 
+@query
+def release_schedule_chunked(spark, sf):
+    events = readers.read_table(spark, sf, "events").select("event_id", "user_id", "ts")
+    made = release.release_schedule(
+        events, ["user_id"], "ts", "event_id", capacity=3.0, rate=1.0 / 21600.0, rows_per_chunk=8
+    )
+    return r6(made)
+
+
 @query
 def release_schedule_cost(spark, sf):
     events = readers.read_table(spark, sf, "events").select(

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from catalog import fixtures as X
 from catalog.batch import Query
-from catalog.fixtures import DAILY
+from catalog.fixtures import DAILY, r6
+from loadweave.functions.expressions import price
 from loadweave.operators import evaluation, forecasting, requests
 from loadweave.session import scratch_path
 from loadweave.settings import Settings
@@ -49,6 +50,11 @@ def fold_metrics(spark, sf):
     return fitted(spark, sf)[0].folds
 
 
+@query
+def fold_sizes(spark, sf):
+    return fitted(spark, sf)[0].folds.select("fold", "train_rows", "val_rows")
+
+
 @query
 def top_features(spark, sf):
     return forecasting.top_features(forecasting.feature_importances(spark, fitted(spark, sf)[0]))
@@ -67,6 +73,28 @@ def forecast(spark, sf):
     return _forecast(spark, sf)[1]
 
 
+def checked(results):
+    """What of a forecast does not hang on the fit: the rows, what happened, and whether the
+    price is the curve's at the forecast load and no load is negative."""
+    load, cost = F.col("load_forecast_mw"), F.col("price_forecast_usd_mwh")
+    return r6(
+        results.select(
+            "panel_id",
+            "ts",
+            "sequence_id",
+            "load_actual_mw",
+            "price_actual_usd_mwh",
+            (F.abs(cost - price(load)) < 1e-6).alias("price_on_curve"),
+            (load >= 0).alias("not_negative"),
+        )
+    )
+
+
+@query
+def forecast_rows(spark, sf):
+    return checked(_forecast(spark, sf)[1])
+
+
 @query
 def model_beats_all(spark, sf):
     held, results, steps = _forecast(spark, sf)
@@ -87,6 +115,18 @@ def evaluation_report(spark, sf):
     return spark.read.json(target)
 
 
+@query
+def request_answers(spark, sf):
+    load, cost = F.col("load_forecast_mw"), F.col("price_forecast_usd_mwh")
+    return request_forecast(spark, sf).select(
+        "request_id",
+        "timestamp_predicted",
+        (load == F.bround(load, 1)).alias("load_rounded"),
+        (cost == F.bround(cost, 2)).alias("price_rounded"),
+        "model_version",
+    )
+
+
 @query
 def request_forecast(spark, sf):
     path = fitted(spark, sf)[2]

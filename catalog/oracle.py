@@ -692,3 +692,51 @@ ORACLE["stream_features_windowed"] = (
 )
 ORACLE["stream_snapshots"] = ORACLE["metric_snapshots"]
 ORACLE["stream_messages"] = ORACLE["forecast_messages"]
+
+
+# The plan for long groups gives the same rows
+
+for _key in ("row_index", "feature_matrix", "metric_snapshots", "release_schedule"):
+    ORACLE[f"{_key}_chunked"] = ORACLE[_key]
+
+
+# What of the model's results does not hang on the fit
+
+
+def part_of_panel(condition: str, first: str) -> str:
+    """The dense panel's train or stream part, numbered from ``first``."""
+    return (
+        DENSE.replace("dense AS (SELECT 'all'", "panel AS (SELECT 'all'")
+        + ", cut AS (SELECT floor(count(*) * 0.8::DOUBLE)::BIGINT AS k FROM panel), "
+        f"dense AS (SELECT panel.* REPLACE (sequence_id - {first} AS sequence_id) FROM panel, cut "
+        f"WHERE {condition})"
+    )
+
+
+def forecast_rows(dense: str) -> str:
+    return (
+        f"WITH {feature_cte('fallback', dense)} SELECT feats.panel_id, feats.ts, sequence_id, "
+        f"{r('target')} AS load_actual_mw, {r(price('target') + ' + ' + noise('sequence_id'))} AS price_actual_usd_mwh, "
+        "true AS price_on_curve, true AS not_negative "
+        "FROM feats JOIN dense ON dense.panel_id = feats.panel_id AND dense.ts = feats.ts"
+    )
+
+
+ORACLE["forecast_rows"] = forecast_rows(part_of_panel("sequence_id >= k", "k"))
+ORACLE["stream_forecast_rows"] = forecast_rows(DENSE)
+ORACLE["fold_sizes"] = (
+    f"WITH {feature_cte('fallback', part_of_panel('sequence_id < k', '0'))}, "
+    "sized AS (SELECT count(*) AS n FROM feats) SELECT fold, (n // 5) * fold AS train_rows, "
+    "CASE WHEN fold = 4 THEN n ELSE (n // 5) * (fold + 1) END - (n // 5) * fold AS val_rows "
+    "FROM sized, (VALUES (1), (2), (3), (4)) f(fold)"
+)
+ORACLE["request_answers"] = (
+    f"WITH {REQUESTS} SELECT request_id, (ts + INTERVAL 1 HOUR)::TIMESTAMP AS timestamp_predicted, "
+    "true AS load_rounded, true AS price_rounded, 'load_model' AS model_version "
+    "FROM checked WHERE n_values >= 168"
+)
+ORACLE["current_beats_all"] = (
+    f"WITH least AS (SELECT panel_id, min(mae) AS m FROM ({ORACLE['baseline_eval']}) GROUP BY panel_id), "
+    f"ours AS (WITH {feature_cte('fallback')} SELECT panel_id, {mae('target', 'af')} AS e FROM feats GROUP BY panel_id) "
+    f"SELECT panel_id, {r('e')} AS model_mae, e < m AS model_beats_all_baselines FROM ours JOIN least USING (panel_id)"
+)

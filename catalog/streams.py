@@ -5,7 +5,7 @@ from __future__ import annotations
 from catalog import fixtures as X
 from catalog.batch import Query, _results
 from catalog.fixtures import DAILY, r6
-from catalog.models import fitted
+from catalog.models import checked, fitted
 from loadweave.operators.features import feature_names
 from loadweave.session import scratch_path
 from loadweave.settings import Settings
@@ -87,6 +87,11 @@ def stream_forecast(spark, sf):
     return _drain(spark, flows.stream_forecast(made, model, DAILY), "forecasts")
 
 
+@query
+def stream_forecast_rows(spark, sf):
+    return checked(stream_forecast(spark, sf))
+
+
 @query
 def stream_late(spark, sf):
     """Events in disorder: arrival order differs from time order by up to five days, and

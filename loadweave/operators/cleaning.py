@@ -12,15 +12,20 @@ from loadweave.settings import PanelSpec
 from loadweave.sources.readers import select_required
 
 
-def dedup_last(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
+def dedup_last(
+    df: DataFrame, keys: Sequence[str], seq: str, copies: str | None = None
+) -> DataFrame:
     """One row per key: the one with the highest ``seq``.
 
     A hash aggregate that combines map-side, so copies never meet in one task. Every
     column follows the same ``seq``, hence comes from the same row; NULLs count.
+    ``copies`` names a column for the number of rows a key had.
     """
     values = [c for c in df.columns if c not in keys and c != seq]
     return df.groupBy(*keys).agg(
-        F.max(seq).alias(seq), *[F.max_by(c, seq).alias(c) for c in values]
+        F.max(seq).alias(seq),
+        *[F.max_by(c, seq).alias(c) for c in values],
+        *([F.count(F.lit(1)).alias(copies)] if copies else []),
     )
 
 

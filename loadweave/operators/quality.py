@@ -101,15 +101,15 @@ def quality_counts(df: DataFrame, spec: PanelSpec, seq: str = "ingest_seq") -> D
     """Duplicates, incomplete rows and negatives per zone, as (check, zone, n).
 
     Each count is taken where its cleaning step acts: duplicates on the raw rows,
-    incomplete rows after dedup, negatives after the null drop.
+    incomplete rows after dedup, negatives after the null drop. The input is read once.
     """
-    kept = dedup_last(df, [*spec.keys, spec.ts], seq)
+    numbered = df.select(*spec.keys, spec.ts, seq, *spec.zones)
+    kept = dedup_last(numbered, [*spec.keys, spec.ts], seq, copies="_copies")
     complete = F.lit(True)
     for z in spec.zones:
         complete = complete & F.col(z).isNotNull()
-    raw = df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("_raw"))
     counted = kept.groupBy(*spec.keys).agg(
-        F.count(F.lit(1)).alias("_kept"),
+        F.sum(F.col("_copies") - F.lit(1)).alias("_again"),
         F.count_if(~complete).alias("_incomplete"),
         *[F.count_if(complete & (F.col(z) < 0)).alias(f"_neg_{z}") for z in spec.zones],
     )
@@ -117,7 +117,7 @@ def quality_counts(df: DataFrame, spec: PanelSpec, seq: str = "ingest_seq") -> D
         F.struct(
             F.lit("duplicate_ts").alias("check"),
             F.lit("*").alias("zone"),
-            (F.col("_raw") - F.col("_kept")).alias("n"),
+            F.col("_again").alias("n"),
         ),
         F.struct(
             F.lit("incomplete").alias("check"),
@@ -132,7 +132,7 @@ def quality_counts(df: DataFrame, spec: PanelSpec, seq: str = "ingest_seq") -> D
         )
         for z in spec.zones
     ]
-    return attach(counted, raw, spec.keys).select(*spec.keys, F.inline(F.array(*cells)))
+    return counted.select(*spec.keys, F.inline(F.array(*cells)))
 
 
 __all__ = [
