@@ -397,6 +397,13 @@ def feature_matrix_ieee(spark, sf):
     return r6(_features(spark, sf, "ieee")[0])
 
 
+@query
+def feature_matrix_suppliers(spark, sf):
+    """All features of every supplier's panel: rows grow with the data."""
+    panel, steps = X.panel_supplier(spark, sf)
+    return r6(features.build_features(panel, DAILY, policy="fallback", max_rows=steps))
+
+
 @query
 def feature_matrix_chunked(spark, sf):
     panel, _ = X.panel_daily(spark, sf)

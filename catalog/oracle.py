@@ -181,9 +181,9 @@ def feature_cte(policy: str, dense: str = DENSE) -> str:
     )
 
 
-def feature_query(policy: str) -> str:
+def feature_query(policy: str, dense: str = DENSE) -> str:
     names = [*features(policy), "target"]
-    return f"WITH {feature_cte(policy)} SELECT panel_id, ts, {rounded(names)} FROM feats"
+    return f"WITH {feature_cte(policy, dense)} SELECT panel_id, ts, {rounded(names)} FROM feats"
 
 
 def on_series(made: dict[str, str]) -> str:
@@ -581,6 +581,7 @@ ORACLE["rolling_std"] = _rolling(("std",), (24, 48, 168))
 ORACLE["rolling_minmax"] = _rolling(("min", "max"), (24,))
 ORACLE["feature_matrix"] = feature_query("fallback")
 ORACLE["feature_matrix_ieee"] = feature_query("ieee")
+ORACLE["feature_matrix_suppliers"] = feature_query("fallback", DENSE_SUPPLIER)
 _compat = features("fallback", compat=True)
 ORACLE["features_online_compat"] = (
     f"WITH {DENSE}, made AS (SELECT panel_id, ts, sequence_id, {cols(_compat)} FROM dense "
@@ -682,6 +683,7 @@ ORACLE["request_rows"] = (
 ORACLE["request_features"] = request_features()
 ORACLE["stream_replay"] = _dense_query(f"panel_id, sequence_id, ts, {rounded(ZONES)}")
 ORACLE["stream_features"] = ORACLE["feature_matrix"]
+ORACLE["stream_features_suppliers"] = ORACLE["feature_matrix_suppliers"]
 ORACLE["stream_features_compat"] = ORACLE["features_online_compat"]
 _served = features("fallback")
 _known = " AND ".join(f'"{n}" IS NOT NULL' for n in _served)

@@ -52,6 +52,16 @@ def stream_features(spark, sf):
     return r6(table.select("panel_id", "ts", *feature_names(DAILY), "target"))
 
 
+@query
+def stream_features_suppliers(spark, sf):
+    """A state key for every supplier: keys and events grow with the data."""
+    panel, _ = X.panel_supplier(spark, sf)
+    events = panel.select("panel_id", X.day_number(F.col("ts")).alias("sequence_id"), "ts", *DAILY.zones)
+    made = flows.online_features(_replay(spark, events), DAILY, mode="label")
+    table = _drain(spark, made, "features")
+    return r6(table.select("panel_id", "ts", *feature_names(DAILY), "target"))
+
+
 @query
 def stream_features_compat(spark, sf):
     made = flows.online_features(
