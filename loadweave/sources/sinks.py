@@ -6,7 +6,9 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from loadweave.session import scratch_path
 from loadweave.settings import PanelSpec, Settings
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -36,17 +38,26 @@ def write_replay(
     in one file, and slices follow each other, so every panel is replayed in order
     whatever the number of files per micro-batch. Take more slices for more rows: a
     panel's share of a slice is written by one task. Returns the number of files.
+
+    ``events`` are evaluated once and dealt to one folder per slice in one pass; each
+    slice is then written from its own folder, so reading does not grow with ``slices``.
     """
-    low, high = events.agg(F.min(order), F.max(order)).first()
+    spark = events.sparkSession
+    once, dealt = scratch_path(spark, "replay-events"), scratch_path(spark, "replay-dealt")
+    events.write.parquet(once)
+    kept = spark.read.schema(events.schema).parquet(once)
+    low, high = kept.agg(F.min(order), F.max(order)).first()
     if low is None:
-        events.write.mode("append").parquet(path)
+        kept.write.mode("append").parquet(path)
     else:
-        step = (high - low) // slices + 1
+        number = F.call_function("div", F.col(order) - F.lit(low), F.lit((high - low) // slices + 1))
+        kept.withColumn("_slice", number.cast("long")).write.partitionBy("_slice").parquet(dealt)
+        schema = T.StructType([*events.schema.fields, T.StructField("_slice", T.LongType())])
         for i in range(slices):
-            start = low + i * step
-            part = events.filter((F.col(order) >= start) & (F.col(order) < start + step))
-            part.repartition(panel).sortWithinPartitions(order).write.mode("append").parquet(path)
-    return len(events.sparkSession.read.parquet(path).inputFiles())
+            part = spark.read.schema(schema).parquet(dealt).filter(F.col("_slice") == i)
+            part = part.drop("_slice").repartition(panel).sortWithinPartitions(order)
+            part.write.mode("append").parquet(path)
+    return len(spark.read.parquet(path).inputFiles())
 
 
 def write_report(report: DataFrame, path: str) -> None:
