@@ -330,3 +330,25 @@ def test_empty_tables(table_of):
     assert bloom_sketch.version_fingerprints(none).count() == 0
     assert budget_mix.mix(none).count() == 0
     assert perplexity.judged(none).count() == 0
+
+
+def prose_of(rng, syllables, n):
+    return " ".join("".join(rng.choice(syllables) for _ in range(rng.randrange(1, 4))) for _ in range(n))
+
+
+@pytest.mark.parametrize("rows", [10**9, 0], ids=["broadcast", "joined"])
+def test_bands_reject_other_languages_and_shuffled_letters(spark, monkeypatch, rows):
+    monkeypatch.setattr(perplexity, "BROADCAST_ROWS", rows)
+    rng = random.Random(5)
+    of = {lang: ["".join(rng.choices(letters, k=3)) for _ in range(60)] for lang, letters in (("en", "abcdefghijkl"), ("fr", "efghimnopqrs"), (None, "stuvwxyzaeio"))}
+    made = [(lang, prose_of(rng, of[lang], rng.randrange(60, 200))) for lang in of for _ in range(100)]
+    wrong = [("en", prose_of(rng, of["fr"], 100)) for _ in range(3)]
+    shuffled = [("fr", "".join(rng.sample(t, len(t)))) for t in (prose_of(rng, of["fr"], 100) for _ in range(3))]
+    lone = [("xx", prose_of(rng, of["en"], 100))] * 2
+    all_rows = [(i, lang, t) for i, (lang, t) in enumerate([*made, *wrong, *shuffled, *lone])]
+    docs = spark.createDataFrame(all_rows, "doc_id long, lang string, text string").repartition(3)
+    got = {r["doc_id"]: r for r in perplexity.judged(docs).collect()}
+    n = len(made)
+    assert len(got) == len(all_rows) and not any(got[i]["kept"] for i in range(n, n + 6))
+    assert sum(got[i]["kept"] for i in range(n)) >= 0.98 * n
+    assert all(got[i]["kept"] and got[i]["log_perplexity"] is None for i in (n + 6, n + 7))
