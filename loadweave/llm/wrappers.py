@@ -4,8 +4,11 @@ Wrapper inference aligns the token streams (tags and texts) of a host's pages on
 as a union-free regular expression: equal tokens stay, differing texts become slots, a
 stretch of tags that only one side has becomes an optional group, and a stretch that ends
 as the tokens before it did becomes a repeated group. The wrapper tells which texts are the
-template's (the same on every sampled page) and which container holds the most varying
-text: the host's article. Each page is then read in whole from that container.
+template's (the same at the same place on every sampled page, which hold ``TEMPLATE_PAGES``
+different articles at least: near copies of one article are no evidence) and which container
+holds the most varying text: the host's article. Each page is then read in whole from that
+container; a template's text is left out at its place only, a place being the path of tags,
+and not where a page has that text there more or less often than the template.
 
 At most ``PAGES`` pages of a host (those of least hash) are aligned; every page is extracted.
 A host whose pages have no such container, or a page without it, is read by the same rule
@@ -22,6 +25,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -32,7 +36,7 @@ from pyspark.sql import functions as F
 from loadweave.llm.common import arrow_schema, prepare, stored, texts
 
 PAGES = 8
-#: A text is the template's only if it is the same on so many different sampled pages.
+#: A text is the template's only if it is the same on pages with so many different articles.
 TEMPLATE_PAGES = 4
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
@@ -237,10 +241,25 @@ def infer(pages: list[str]) -> dict:
         wrapper = generalise(wrapper, s)
     found = list(flat(wrapper))
     varying = container([t for t, _ in found], lambda t: 40 if t is SLOT else len(t.text) * (len(streams) == 1))
-    fixed = []
+    fixed, places = [], []
     if len(streams) >= TEMPLATE_PAGES:
-        fixed = [block(t.text) for t, free in found if t.kind == "t" and t is not SLOT and not free]
-    return {"container": varying, "fixed": fixed, "pages": len(streams)}
+        same = {block(t.text) for t, free in found if t.kind == "t" and t is not SLOT and not free}
+        read = [Counter(blocks_of(tokens(p), None)) for p in dict.fromkeys(pages)]
+        inside = f"/{'.'.join(varying)}/" if varying else ""
+        if different([{b for b in own if inside in b[0]} or set(own) for own in read]) >= TEMPLATE_PAGES:
+            places = [[path, text, n] for (path, text), n in read[0].items() if text in same and all(r[path, text] == n for r in read)]
+            fixed = [text for _, text, _ in places]
+    return {"container": varying, "fixed": fixed, "places": places, "pages": len(streams)}
+
+
+def different(articles: list[set]) -> int:
+    """How many different articles there are: one that shares more than half of the blocks of
+    either with an earlier one is its near copy."""
+    first: list[set] = []
+    for own in articles:
+        if all(2 * len(own & x) <= min(len(own), len(x)) for x in first):
+            first.append(own)
+    return len(first)
 
 
 def container(stream: list[Token], weight) -> list[str] | None:
@@ -286,16 +305,26 @@ def article(page: str, wrapper: dict | None) -> str:
     chosen = wrapper and wrapper["container"]
     if not chosen or not any(t.kind == "<" and t.name == chosen[0] and t.mark == chosen[1] for t in stream):
         chosen = container(stream, lambda t: len(t.text))
-    fixed = frozenset(wrapper["fixed"]) if wrapper else frozenset()
-    blocks: list[str] = []
+    made = blocks_of(stream, chosen)
+    template = {(path, text): n for path, text, n in wrapper["places"]} if wrapper else {}
+    if template:
+        often = Counter(made)
+        made = [b for b in made if often[b] != template.get(b)]
+    return "\n\n".join(text for _, text in made)
+
+
+def blocks_of(stream: list[Token], chosen: list[str] | None) -> list[tuple[str, str]]:
+    """(path of the block tags that hold it, text) of every block in the container, or on the page."""
+    blocks: list[tuple[str, str]] = []
     current: list[str] = []
+    path = ""
 
     def close() -> None:
         if current:
             made = block("".join(current))
             current.clear()
-            if made and made not in fixed:
-                blocks.append(made)
+            if made:
+                blocks.append((path, made))
 
     for t, stack in opened(stream):
         if t.kind in "</":
@@ -308,9 +337,10 @@ def article(page: str, wrapper: dict | None) -> str:
             continue
         if any(x.out for x in stack) or any(x.name == "header" for x in stack) and not any(x.name in ("article", "main") for x in stack):
             continue
+        path = "/" + "".join(f"{x.name}.{x.mark}/" for x in stack if x.name in BLOCKS)
         current.append(t.text)
     close()
-    return "\n\n".join(blocks)
+    return blocks
 
 
 def host_of(url):

@@ -52,3 +52,19 @@ def test_generalise_makes_slots_options_and_repeats():
 def test_host(spark, url, host):
     df = spark.createDataFrame([(url,)], "url string")
     assert df.select(wrappers.host_of(df["url"])).first()[0] == host
+
+
+def test_near_copies_of_one_article_keep_their_paragraphs():
+    body = [f"paragraph {k} of the article" for k in range(6)]
+    pages = [page(f"T{i}", body) for i in range(8)]
+    found = wrappers.infer(pages)
+    assert found["fixed"] == []
+    assert wrappers.article(pages[2], found) == "\n\n".join(["T2", *body])
+
+
+def test_template_text_goes_at_its_place_only():
+    note = "Read on our site"
+    pages = [page(f"T{i}", [f"p{i} {k}" for k in range(4)], extra=f"<div>{note}</div>") for i in range(5)]
+    found = wrappers.infer(pages)
+    other = page("T9", ["a", note, "b"], extra=f"<div>{note}</div>")
+    assert wrappers.article(other, found) == f"T9\n\na\n\n{note}\n\nb"
