@@ -353,7 +353,8 @@ def host_wrappers(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
     rows = pages.where(F.length(html_col) > 0).select(host_of(F.col(url_col)).alias("_host"), F.col(html_col).alias("_html"))
     rows = rows.withColumn("_order", F.xxhash64("_html"))
     first = Window.partitionBy("_host").orderBy("_order")
-    drawn = rows.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= PAGES)
+    drawn = rows.select("_host", "_order").distinct().withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= PAGES).drop("_n")
+    drawn = rows.join(drawn, ["_host", "_order"]).groupBy("_host", "_order").agg(F.min("_html").alias("_html"))
 
     def one(group: pd.DataFrame) -> pd.DataFrame:
         own = group.sort_values(["_order", "_html"])

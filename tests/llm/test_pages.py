@@ -1,5 +1,7 @@
 """Wrappers and page articles."""
 
+import json
+
 import pytest
 
 from loadweave.llm import wrappers
@@ -68,3 +70,9 @@ def test_template_text_goes_at_its_place_only():
     found = wrappers.infer(pages)
     other = page("T9", ["a", note, "b"], extra=f"<div>{note}</div>")
     assert wrappers.article(other, found) == f"T9\n\na\n\n{note}\n\nb"
+
+
+def test_copies_of_a_page_count_once_for_the_wrapper(spark):
+    rows = [(f"http://h/{k}", page(f"T{i}", [f"p{i} {k}" for k in range(3)])) for i in range(4) for k in range(20)]
+    made = wrappers.host_wrappers(spark.createDataFrame(rows, "url string, html string"), "url", "html").collect()
+    assert [json.loads(r["_wrapper"])["pages"] for r in made] == [4]
