@@ -117,6 +117,22 @@ def texts(column: pa.Array) -> list[str]:
     return [x if x is not None else "" for x in column.to_pylist()]
 
 
+_CHARS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+
+
+def ascii_words(raw: bytes) -> list[bytes]:
+    """Words of digits, letters and all code points above ASCII, with A-Z in lower case."""
+    return raw.translate(_CHARS).split()
+
+
+_CHARS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+
+
+def ascii_words(raw: bytes) -> list[bytes]:
+    """Words of digits, letters and all code points above ASCII, with A-Z in lower case."""
+    return raw.translate(_CHARS).split()
+
+
 def n_words(text):
     """Number of words of a text column; a null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

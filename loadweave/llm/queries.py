@@ -12,10 +12,13 @@ from loadweave.llm import (
     budget_mix,
     compression_quality,
     dac,
+    dual_tree,
+    license_notices,
     perplexity,
     simhash_links,
     suffix_dedup,
     token_counts,
+    whitening,
     wrappers,
 )
 from loadweave.llm.common import table
@@ -86,6 +89,24 @@ def op10_simhash_components(spark, sf):
     return found.select("doc_id", fingerprint, "component_id")
 
 
+@query
+def op11_whitened_vectors(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
+@query
+def op12_license_notices(spark, sf):
+    return license_notices.notice_digests(table(spark, sf, "documents"))
+
+
+@query
+def op13_dual_tree_search(spark, sf):
+    return dual_tree.search_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+ORACLE["op13_dual_tree_search"] = dual_tree.SEARCH_SQL
+
+
 def _pipeline(spark, sf):
     import corpus_pipeline
 
