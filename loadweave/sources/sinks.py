@@ -31,6 +31,7 @@ def write_replay(
     order: str = "sequence_id",
     slices: int = 4,
     panel: str = "panel_id",
+    end_marks: bool = False,
 ) -> int:
     """Events as ``slices`` sets of Parquet files, written one after the other in order.
 
@@ -39,6 +40,9 @@ def write_replay(
     whatever the number of files per micro-batch. Take more slices for more rows: a
     panel's share of a slice is written by one task. Returns the number of files.
 
+    ``end_marks`` adds a last set of files with one row per panel in which all else is NULL:
+    the end of a bounded replay.
+
     ``events`` are evaluated once and dealt to one folder per slice in one pass; each
     slice is then written from its own folder, so reading does not grow with ``slices``.
     """
@@ -57,6 +61,10 @@ def write_replay(
             part = spark.read.schema(schema).parquet(dealt).filter(F.col("_slice") == i)
             part = part.drop("_slice").repartition(panel).sortWithinPartitions(order)
             part.write.mode("append").parquet(path)
+    if end_marks:
+        blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema if f.name != panel]
+        marks = kept.select(panel).distinct().select(panel, *blank).select(*events.columns)
+        marks.write.mode("append").parquet(path)
     return len(spark.read.parquet(path).inputFiles())
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,10 +33,14 @@ from loadweave.session import ROCKSDB_PROVIDER, ship_package
 from loadweave.settings import PanelSpec, Settings
 from loadweave.sources.sinks import forecast_messages
 from loadweave.streaming.state import (
+    COUNTERS,
+    NONE,
+    ArrivalHistory,
     PanelHistory,
     RunningSums,
     output_schema,
     sums_schema,
+    tagged_schema,
 )
 
 
@@ -67,59 +72,123 @@ def online_features(
     mode: str = "serve",
     convention: str = "parity",
     delay: str | None = None,
+    arrival: str | None = None,
 ) -> DataFrame:
     """The batch features, from keyed state: panel, ts, sequence_id, zones, features.
 
-    ``mode="label"`` adds ``target``. ``delay`` sets a watermark of that length and
-    puts late arrivals back in order; rows later than that are dropped by Spark and
-    counted in the query's ``numRowsDroppedByWatermark``.
+    ``mode="label"`` adds ``target``. ``delay`` puts events back in order that arrive up
+    to that much later than a newer event of their panel; see ``tagged_features``, which
+    also returns the events that come too late.
     """
+    tail = ["target"] if mode == "label" else []
+    shown = [spec.panel, spec.ts, "sequence_id", *spec.zones, *feature_names(spec, settings), *tail]
+    if delay is not None:
+        tagged = tagged_features(events, spec, settings, delay, mode, convention, arrival)
+        return tagged.filter(F.col("kind") == "feature").select(*shown)
     spark = events.sparkSession
     ship_package(spark)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    rows = events.select(
-        spec.panel,
-        F.col(spec.ts).cast("timestamp").alias("_at"),
-        micros(F.col(spec.ts)).alias("us"),
-        "sequence_id",
-        *spec.zones,
-    )
-    if delay is not None:
-        rows = rows.withWatermark("_at", delay)
+    rows = events.select(spec.panel, micros(F.col(spec.ts)).alias("us"), "sequence_id", *spec.zones)
     made = rows.groupBy(spec.panel).transformWithStateInPandas(
-        statefulProcessor=PanelHistory(spec, settings, mode, convention, delay is not None),
+        statefulProcessor=PanelHistory(spec, settings, mode, convention),
         outputStructType=output_schema(spec, settings),
         outputMode="Append",
-        timeMode="EventTime" if delay is not None else "None",
+        timeMode="None",
     )
+    out = _with_row_features(made, spec).select(*shown)
+    if convention == "online_compat":
+        return out
+    # as in batch, a row with an unknown feature or target leaves no features
+    return drop_warmup(out, telling_columns(spec, settings) + tail)
+
+
+def _with_row_features(made: DataFrame, spec: PanelSpec) -> DataFrame:
+    """``made`` (rows with their history columns) with the features that need no more history."""
     t = spec.target
     made = made.withColumn(spec.ts, F.timestamp_micros("us").cast("timestamp_ntz"))
     total = F.col(spec.zones[0])
     for z in spec.zones[1:]:
         total = total + F.col(z)
-    extra = calendar(F.col(spec.ts)) | {
-        f"{t}_diff_1h": F.col(t) - F.col("_ago_1"),
-        f"{t}_diff_24h": F.col(t) - F.col("_ago_24"),
-        f"{t}_ratio_24h": ratio(F.col(t), F.col("_ago_24"), "fallback", 1.0),
-        f"{t}_to_{spec.others[0]}_ratio": ratio(
-            F.col(t), F.col(spec.others[0]), "fallback", 1.0
-        ),
-        f"{t}_to_total_ratio": ratio(F.col(t), total, "fallback", 0.0),
-    }
-    out = made.withColumns(extra)
-    tail = [nan_to_null(F.col("target")).alias("target")] if mode == "label" else []
-    shown = out.select(
+    first = F.col(spec.others[0])
+    return made.withColumns(
+        calendar(F.col(spec.ts))
+        | {
+            f"{t}_diff_1h": F.col(t) - F.col("_ago_1"),
+            f"{t}_diff_24h": F.col(t) - F.col("_ago_24"),
+            f"{t}_ratio_24h": ratio(F.col(t), F.col("_ago_24"), "fallback", 1.0),
+            f"{t}_to_{spec.others[0]}_ratio": ratio(F.col(t), first, "fallback", 1.0),
+            f"{t}_to_total_ratio": ratio(F.col(t), total, "fallback", 0.0),
+            "target": nan_to_null(F.col("target")),
+        }
+    )
+
+
+def tagged_features(
+    events: DataFrame,
+    spec: PanelSpec,
+    settings: Settings = Settings(),
+    delay: str = "1 day",
+    mode: str = "serve",
+    convention: str = "parity",
+    arrival: str | None = None,
+) -> DataFrame:
+    """Every event once, with its ``kind``: feature, warmup, open, late, repeated or untimed;
+    only ``feature`` rows have features. An end mark of a panel (``write_replay`` puts them
+    last) makes all that waits leave, and an ``end`` row with the panel's counters.
+
+    ``arrival`` names a whole number that orders the events of a micro-batch as they came;
+    without it they count as having come in time order. See ``ArrivalHistory``.
+    """
+    spark = events.sparkSession
+    ship_package(spark)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    none = F.lit(NONE).cast("long")
+    rows = events.select(
         spec.panel,
-        spec.ts,
-        "sequence_id",
-        *spec.zones,
-        *feature_names(spec, settings),
-        *tail,
+        F.coalesce(micros(F.col(spec.ts)), none).alias("us"),
+        F.coalesce(F.col("sequence_id").cast("long"), none).alias("sequence_id"),
+        (F.lit(0) if arrival is None else F.coalesce(F.col(arrival), F.lit(2**63 - 1)))
+        .cast("long")
+        .alias("arrival"),
+        *[F.col(z).cast("double").alias(z) for z in spec.zones],
     )
-    if convention == "online_compat":
-        return shown
-    # as in batch, a row with an unknown feature or target leaves no features
-    return drop_warmup(shown, telling_columns(spec, settings) + (["target"] if tail else []))
+    delay_us = int(pd.Timedelta(delay).total_seconds() * 1_000_000)
+    tagged = rows.groupBy(spec.panel).transformWithStateInPandas(
+        statefulProcessor=ArrivalHistory(spec, settings, delay_us, mode, convention),
+        outputStructType=tagged_schema(spec, settings),
+        outputMode="Append",
+        timeMode="None",
+    )
+    known = {c: F.nullif(F.col(c), none) for c in ("us", "sequence_id", *COUNTERS)}
+    names = feature_names(spec, settings)
+    out = _with_row_features(tagged.withColumns(known), spec)
+    if convention != "online_compat":
+        lacking = F.lit(False)
+        for name in telling_columns(spec, settings) + (["target"] if mode == "label" else []):
+            lacking = lacking | F.col(name).isNull()
+        kind = F.when((F.col("kind") == "feature") & lacking, F.lit("warmup")).otherwise(F.col("kind"))
+        out = out.withColumn("kind", kind)
+    feature = F.col("kind") == "feature"
+    shown = [F.when(feature, F.col(n)).alias(n) for n in names]
+    tail = [F.when(feature, F.col("target")).alias("target")] if mode == "label" else []
+    return out.select(spec.panel, "kind", spec.ts, "sequence_id", *spec.zones, *shown, *tail, *COUNTERS)
+
+
+def once(
+    events: DataFrame,
+    within: str,
+    keys: tuple[str, ...] = ("panel_id", "sequence_id"),
+    ts: str = "ts",
+) -> DataFrame:
+    """Each event once, however often it is delivered within ``within`` of its time.
+
+    A key is kept in state until the watermark has passed its event by ``within``; what is
+    delivered again after that is behind the watermark and dropped as such.
+    """
+    spark = events.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    marked = events.withColumn("_at", F.col(ts).cast("timestamp")).withWatermark("_at", within)
+    return marked.dropDuplicatesWithinWatermark(list(keys)).drop("_at")
 
 
 def stream_forecast(

@@ -1,5 +1,8 @@
 """Streams give what the batch operators give."""
 
+import datetime
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,3 +130,98 @@ def test_messages(spark):
     assert row.logical_timestamp == "2010-01-01T05:00:00" and row.type == "forecast"
     assert row.load_error_mw == row.load_forecast_mw - row.load_actual_mw
     assert row.inference_latency_ms == 0.005
+
+
+def arrivals(spark, n=420, panel="p"):
+    """Events with their arrival number: up to 8 places out of order, some far too late, some
+    delivered twice, one without a time."""
+    rows = noisy(spark, n, panel).select("panel_id", "sequence_id", "ts", *SIX.zones)
+    s = F.col("sequence_id")
+    very_late = F.when(s % 97 == 13, F.lit(150)).otherwise(F.lit(0))
+    came = rows.withColumn("arrival", s + (s * 7) % 9 + very_late)
+    again = came.filter(s % 50 == 7).withColumn("arrival", F.col("arrival") + 2)
+    changed = again.withColumn("pjme", F.col("pjme") + 5)
+    old = came.filter(s % 100 == 3).withColumn("arrival", F.col("arrival") + 200)
+    lost = came.filter("sequence_id = 11").withColumn("ts", F.lit(None).cast("timestamp_ntz"))
+    return came.unionByName(changed).unionByName(old).unionByName(lost)
+
+
+def told(rows, hours=12):
+    """Kind of every arrival by the rules, in plain Python, and the events that go on."""
+    newest, late, waiting, untimed = None, [], {}, []
+    for r in sorted(rows, key=lambda r: (r.arrival, r.ts is not None, r.ts, r.sequence_id)):
+        if r.ts is None:
+            untimed.append(r)
+        elif newest is not None and r.ts <= newest - datetime.timedelta(hours=hours):
+            late.append(r)
+        else:
+            waiting.setdefault(r.ts, []).append(r)
+            newest = r.ts if newest is None else max(newest, r.ts)
+    kept = [rs[-1] for rs in waiting.values()]
+    repeated = [r for rs in waiting.values() for r in rs[:-1]]
+    return kept, {"late": late, "repeated": repeated, "untimed": untimed}
+
+
+@pytest.mark.parametrize("slices,mode", [(1, "serve"), (7, "label")])
+def test_every_arrival_leaves_once_with_its_kind(spark, slices, mode):
+    rows = arrivals(spark).unionByName(arrivals(spark, 200, "q")).unionByName(arrivals(spark, 5, "r"))
+    path = scratch_path(spark, "replay")
+    sinks.write_replay(rows, path, order="arrival", slices=slices, end_marks=True)
+    stream = flows.replay_source(spark, path, rows.schema)
+    made = flows.tagged_features(stream, SIX, delay="12 hours", mode=mode, arrival="arrival")
+    got = drain(spark, made).cache()
+    features = None
+    for panel in ("p", "q", "r"):
+        came = rows.filter(F.col("panel_id") == panel).collect()
+        kept, want = told(came)
+        mine = got.filter(F.col("panel_id") == panel)
+        for kind, those in want.items():
+            found = [r.sequence_id for r in mine.filter(F.col("kind") == kind).collect()]
+            assert sorted(found) == sorted(r.sequence_id for r in those), (panel, kind)
+        in_order = spark.createDataFrame(kept, rows.schema)
+        batch = build_features(in_order, SIX, keep=("sequence_id",), with_target=mode == "label")
+        features = batch if features is None else features.unionByName(batch)
+        n = {r["kind"]: r["count"] for r in mine.groupBy("kind").count().collect()}
+        assert n["end"] == 1 and n.get("open", 0) == (mode == "label")
+        assert sum(c for k, c in n.items() if k != "end") == len(came)
+        end = mine.filter("kind = 'end'").first()
+        counted = (end.n_in, end.n_late, end.n_repeated, end.n_untimed)
+        assert counted == (len(came), len(want["late"]), len(want["repeated"]), len(want["untimed"]))
+    shown = SHOWN + (["target"] if mode == "label" else [])
+    same(got.filter("kind = 'feature'").select(*shown), features.select(*shown))
+
+
+def test_no_waiting_row_is_written_twice(spark):
+    """State grows by what arrives: a chunk per bucket and micro-batch, none rewritten."""
+    from loadweave.streaming.state import ArrivalHistory
+
+    class Kept(dict):
+        written = 0
+
+        def updateValue(self, k, v):
+            self[k], self.written = v, self.written + len(v[0] if isinstance(v[0], bytes) else b"")
+
+        getValue, containsKey, removeKey = dict.__getitem__, dict.__contains__, dict.pop
+
+    state = ArrivalHistory(SIX, Settings(), 3_600_000_000 * 100)
+    state.open, state.chunks = Kept(), Kept()
+    rng = np.random.default_rng(1)
+    taken = 0
+    for i in range(40):
+        part = np.zeros(25, dtype=state.record)
+        part["us"] = rng.integers(i * 10, i * 10 + 60, 25) * 3_600_000_000
+        state._wait(part)
+        taken += len(state._passed((i * 10 - 40) * 3_600_000_000))
+    taken += len(state._passed(2**62))
+    assert taken == 1000 and not state.open and not state.chunks
+    assert state.chunks.written == 1000 * np.dtype(state.record).itemsize
+
+
+def test_a_replay_sent_twice_gives_the_rows_of_one(spark):
+    rows = two_panels(spark)
+    path = scratch_path(spark, "replay")
+    for _ in range(2):
+        sinks.write_replay(rows, path, slices=3)
+    rows.filter("sequence_id between 100 and 180").write.mode("append").parquet(path)
+    got = drain(spark, flows.once(flows.replay_source(spark, path, rows.schema), "6 hours"))
+    same(got, rows)
