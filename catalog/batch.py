@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import fixtures as X
-from catalog.fixtures import DAILY, HOURLY, r6
+from catalog.fixtures import DAILY, HOURLY, r6, r9
 from loadweave.functions import expressions as E
+from loadweave.functions.metrics import LATENCY_NAMES
 from loadweave.operators import cleaning, evaluation, features, quality, release, requests, splits
 from loadweave.operators.baselines import BASELINES, baseline_columns
 from loadweave.plans.layout import lay_out
@@ -172,7 +173,10 @@ def ratio_null(spark, sf):
 
 def _results(spark, sf):
     """Two-stage results of the persistence forecast on the daily panel."""
-    events, steps = X.indexed_daily(spark, sf)
+    return _persistence(*X.indexed_daily(spark, sf))
+
+
+def _persistence(events, steps):
     layout = lay_out(events, ["panel_id"], ["ts"], back=1, max_rows=steps)
     made = layout.core(layout.df.withColumn("_p", F.lag("af", 1).over(layout.window)))
     results = evaluation.two_stage(
@@ -555,7 +559,24 @@ def metric_snapshots_chunked(spark, sf):
 def snapshot_latency(spark, sf):
     results, steps = _results(spark, sf)
     shots = evaluation.cumulative_snapshots(results, latency=True, max_rows=steps)
-    return evaluation.metrics_message_struct(shots)
+    return _unnested(evaluation.metrics_message_struct(shots))
+
+
+@query
+def snapshot_latency_suppliers(spark, sf):
+    results, steps = _persistence(*X.events_supplier(spark, sf))
+    return r9(evaluation.cumulative_snapshots(results, latency=True, max_rows=steps), LATENCY_NAMES)
+
+
+def _unnested(shots):
+    """The nested snapshot as plain columns."""
+    errors = [
+        F.col(f"{kind}_metrics.{m}").alias(f"{kind}_{m}")
+        for kind in ("load", "price")
+        for m in ("mae", "rmse", "mape")
+    ]
+    shown = shots.select("panel_id", "snapshot", "events_processed", *errors, "latency.*")
+    return r9(shown, LATENCY_NAMES)
 
 
 @query

@@ -28,6 +28,17 @@ def r6(df: DataFrame) -> DataFrame:
     )
 
 
+def r9(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """``r6``, and the named columns (milliseconds, exact to parts of a nanosecond) to nine."""
+    kept = {n: F.round(n, 9) for n in names}
+    return df.select(
+        *[
+            kept[c].alias(c) if c in kept else F.round(c, 6).alias(c) if t == "double" else F.col(c)
+            for c, t in df.dtypes
+        ]
+    )
+
+
 def panel_daily_sparse(spark: SparkSession, sf: str) -> DataFrame:
     zone = F.concat("l_returnflag", "l_linestatus")
     return panel_from_long(
@@ -120,6 +131,27 @@ def requests(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def arrivals(events: DataFrame) -> DataFrame:
+    """Replay events as they arrive: up to five places out of order, one in 97 far too late,
+    one in 50 delivered twice, one in 100 again after 200 others."""
+    s = F.col("sequence_id")
+    very_late = F.when(s % 97 == 13, F.lit(1000)).otherwise(F.lit(0))
+    lag = F.array_compact(
+        F.array(
+            F.lit(0), F.when(s % 50 == 7, F.lit(2)), F.when(s % 100 == 3, F.lit(200))
+        )
+    )
+    again = events.withColumn("_lag", F.explode(lag))
+    came = (F.col("_lag") + s + (s * 7919) % 6 + very_late).cast("long")
+    return again.withColumn("arrival", came).drop("_lag")
+
+
+def events_supplier(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
+    """The suppliers' panels as replay events, numbered by day."""
+    panel, steps = panel_supplier(spark, sf)
+    return panel.withColumn("sequence_id", day_number(F.col("ts"))), steps
+
+
 def panel_supplier(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
     """One dense daily panel of six zones per supplier: panels grow with the data."""
     first, steps = daily_steps(spark, sf)

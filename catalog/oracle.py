@@ -696,6 +696,78 @@ ORACLE["stream_snapshots"] = ORACLE["metric_snapshots"]
 ORACLE["stream_messages"] = ORACLE["forecast_messages"]
 
 
+
+
+def arrived(dense: str) -> str:
+    """Tagged arrivals (``told``) of the events in ``dense``, see the arrival fixtures."""
+    return (
+        dense
+        + ", came AS (SELECT *, sequence_id + (sequence_id * 7919) % 6 + "
+        "CASE WHEN sequence_id % 97 = 13 THEN 1000 ELSE 0 END + lag AS arrival FROM events_, "
+        "(VALUES (0), (2), (200)) l(lag) WHERE lag = 0 OR (lag = 2 AND sequence_id % 50 = 7) "
+        "OR (lag = 200 AND sequence_id % 100 = 3)), "
+        "clocked AS (SELECT *, max(ts) OVER (PARTITION BY panel_id ORDER BY arrival, ts "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 10 DAY AS clock FROM came), "
+        "ranked AS (SELECT *, coalesce(ts <= clock, false) AS late, row_number() OVER (PARTITION BY panel_id, "
+        "ts, coalesce(ts <= clock, false) ORDER BY arrival DESC) AS nth FROM clocked), "
+        "used AS (SELECT *, row_number() OVER (PARTITION BY panel_id ORDER BY ts) AS pos, "
+        "count(*) OVER (PARTITION BY panel_id) AS n FROM ranked WHERE NOT late AND nth = 1), "
+        "told AS (SELECT panel_id, sequence_id, CASE WHEN late THEN 'late' ELSE 'repeated' END AS kind "
+        "FROM ranked WHERE late OR nth > 1 UNION ALL SELECT panel_id, sequence_id, "
+        "CASE WHEN pos = n THEN 'open' WHEN pos > 168 THEN 'feature' ELSE 'warmup' END FROM used)"
+    )
+
+
+NUMBERED_SUPPLIER = DENSE_SUPPLIER + (
+    ", events_ AS (SELECT *, date_diff('day', DATE '1970-01-01', ts::DATE) AS sequence_id FROM dense)"
+)
+ORACLE["stream_late"] = (
+    "WITH " + arrived(DENSE + ", events_ AS (SELECT * FROM dense)")
+    + f", every AS (SELECT panel_id, ts, sequence_id, {cols(_served)} FROM used "
+    "WINDOW w AS (PARTITION BY panel_id ORDER BY ts)) "
+    f"SELECT panel_id, ts, sequence_id, {rounded(_served)} FROM every WHERE {_known}"
+)
+ORACLE["stream_late_events"] = (
+    f"WITH {arrived(NUMBERED_SUPPLIER)} SELECT panel_id, sequence_id, kind, NULL::BIGINT AS n_in, "
+    "NULL::BIGINT AS n_late, NULL::BIGINT AS n_repeated, NULL::BIGINT AS n_untimed FROM told UNION ALL "
+    "SELECT panel_id, NULL, 'end', count(*), count(*) FILTER (kind = 'late'), "
+    "count(*) FILTER (kind = 'repeated'), 0 FROM told GROUP BY panel_id"
+)
+ORACLE["stream_repeated"] = (
+    f"WITH {NUMBERED_SUPPLIER} SELECT panel_id, sequence_id, ts, {rounded(ZONES)} FROM events_"
+)
+ORACLE["stream_settled"] = (
+    f"WITH {NUMBERED_SUPPLIER}, ahead AS (SELECT panel_id, sequence_id, ts, {r('af')} AS load_forecast_mw, "
+    "lead(CASE WHEN sequence_id % 41 <> 3 THEN af END, 1) OVER (PARTITION BY panel_id ORDER BY ts) AS later "
+    f"FROM events_) SELECT panel_id, sequence_id, ts, load_forecast_mw, {r('later')} AS load_actual_mw FROM ahead"
+)
+_PREFIX = "(PARTITION BY panel_id ORDER BY sequence_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+RESULTS_SUPPLIER = RESULTS.replace(DENSE, NUMBERED_SUPPLIER).replace(
+    "lag(af, 1) OVER (ORDER BY ts) AS p FROM dense",
+    "lag(af, 1) OVER (PARTITION BY panel_id ORDER BY ts) AS p FROM events_",
+)
+
+
+def _shots(results: str, more: str) -> str:
+    return (
+        f"WITH {results}, running AS (SELECT *, row_number() OVER (PARTITION BY panel_id ORDER BY sequence_id) AS k, "
+        + windowed_metrics(_PREFIX)
+        + "".join(
+            f", quantile_cont(latency_ns::DOUBLE, {q}) OVER {_PREFIX} / 1e6::DOUBLE AS {n}"
+            for q, n in ((0.5, "p50_ms"), (0.95, "p95_ms"), (0.99, "p99_ms"))
+        )
+        + " FROM results) SELECT panel_id, (k // 24)::BIGINT AS snapshot, k::BIGINT AS events_processed, "
+        f"{rounded(METRIC_NAMES)}, {more} FROM running WHERE k % 24 = 0"
+    )
+
+
+_LATENCY = ", ".join(f"round({n}, 9) AS {n}" for n in ("p50_ms", "p95_ms", "p99_ms"))
+ORACLE["snapshot_latency"] = _shots(RESULTS, _LATENCY)
+ORACLE["snapshot_latency_suppliers"] = _shots(RESULTS_SUPPLIER, _LATENCY)
+ORACLE["stream_snapshots_suppliers"] = _shots(
+    RESULTS_SUPPLIER, "true AS p50_ms_near, true AS p95_ms_near, true AS p99_ms_near"
+)
+
 # The plan for long groups gives the same rows
 
 for _key in ("row_index", "feature_matrix", "metric_snapshots", "release_schedule"):

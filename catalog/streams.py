@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import datetime
+
 from catalog import fixtures as X
-from catalog.batch import Query, _results
+from catalog.batch import Query, _persistence, _results
 from catalog.fixtures import DAILY, r6
 from catalog.models import checked, fitted
+from loadweave.functions.metrics import LATENCY_NAMES, LATENCY_POINTS
 from loadweave.operators.features import feature_names
-from loadweave.session import scratch_path
+from loadweave.operators.prefix_quantiles import prefix_percentiles
+from loadweave.session import checkpointed, scratch_path
 from loadweave.settings import Settings
 from loadweave.sources import sinks
 from loadweave.streaming import flows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 SETTINGS = Settings()
@@ -102,16 +107,83 @@ def stream_forecast_rows(spark, sf):
     return checked(stream_forecast(spark, sf))
 
 
+def _arriving(spark, events, slices):
+    """Events in order of arrival, with an end mark per panel, as a stream."""
+    path = scratch_path(spark, "replay")
+    came = X.arrivals(events)
+    sinks.write_replay(came, path, order="arrival", slices=slices, end_marks=True)
+    return flows.replay_source(spark, path, came.schema)
+
+
 @query
 def stream_late(spark, sf):
-    """Events in disorder: arrival order differs from time order by up to five days, and
-    one event in 97 arrives far too late."""
-    events = _events(spark, sf)
-    shuffled = F.col("sequence_id") + (F.col("sequence_id") * 7919) % 6
-    very_late = F.when(F.col("sequence_id") % 97 == 13, F.lit(1000)).otherwise(F.lit(0))
+    """Features of events that arrive in disorder, repeatedly or far too late."""
+    stream = _arriving(spark, _events(spark, sf), 6)
+    made = flows.online_features(stream, DAILY, delay="10 days", arrival="arrival")
+    table = _drain(spark, made, "late")
+    return r6(table.select("panel_id", "ts", "sequence_id", *feature_names(DAILY)))
+
+
+@query
+def stream_late_events(spark, sf):
+    """What became of every arrival of every supplier, and each supplier's counters."""
+    events = X.events_supplier(spark, sf)[0].select("panel_id", "sequence_id", "ts", *DAILY.zones)
+    stream = _arriving(spark, events, 3)
+    made = flows.tagged_features(stream, DAILY, delay="10 days", mode="label", arrival="arrival")
+    counters = ("n_in", "n_late", "n_repeated", "n_untimed")
+    return _drain(spark, made, "tagged").select("panel_id", "sequence_id", "kind", *counters)
+
+
+@query
+def stream_repeated(spark, sf):
+    """A replay of every supplier that is delivered twice: each event once."""
+    events = X.events_supplier(spark, sf)[0].select("panel_id", "sequence_id", "ts", *DAILY.zones)
     path = scratch_path(spark, "replay")
-    arrived = events.withColumn("arrival", shuffled + very_late)
-    sinks.write_replay(arrived, path, order="arrival", slices=6)
-    stream = flows.replay_source(spark, path, events.schema)
-    made = flows.online_features(stream, DAILY, delay="10 days")
-    return _drain(spark, made, "late")
+    for _ in range(2):
+        sinks.write_replay(events, path, slices=2)
+    stream = flows.once(flows.replay_source(spark, path, events.schema, 8), "30 days")
+    return r6(_drain(spark, stream, "once"))
+
+
+@query
+def stream_settled(spark, sf):
+    """Forecasts of every supplier, and the loads that were measured a day later; one in 41
+    never comes."""
+    events = X.events_supplier(spark, sf)[0]
+    made = events.select("panel_id", "sequence_id", "ts", F.col("af").alias("load_forecast_mw"))
+    came = events.filter("sequence_id % 41 != 3").select("panel_id", "sequence_id", "ts", "af")
+    until = events.agg(F.max("ts")).first()[0] + datetime.timedelta(days=60)
+    streams = []
+    for rows in (made, came):
+        path = scratch_path(spark, "replay")
+        sinks.write_replay(rows, path, slices=2)
+        sinks.write_horizon(spark, path, rows.schema, until)
+        streams.append(flows.replay_source(spark, path, rows.schema, 4))
+    settled = flows.settle(*streams, actual="af", step="1 DAY", wait="20 days")
+    return r6(_drain(spark, settled, "settled"))
+
+
+@query
+def stream_snapshots_suppliers(spark, sf):
+    """Streamed snapshots of every supplier; the streamed latency percentiles lie between the
+    exact ones 1 % of rank to either side."""
+    results, steps = _persistence(*X.events_supplier(spark, sf))
+    results = checkpointed(results)
+    stream = _replay(spark, results, slices=3)
+    shots = _drain(spark, flows.stream_snapshots(stream, latency=True), "snapshots")
+    shots = shots.withColumns(
+        {"block": F.col("snapshot") - F.lit(1), "n": F.col("events_processed")}
+    )
+    around = [q + d for q in LATENCY_POINTS for d in (-0.01, 0.01)]
+    names = [f"{n}_{side}" for n in LATENCY_NAMES for side in ("least", "most")]
+    nth = F.row_number().over(Window.partitionBy("panel_id").orderBy("sequence_id"))  # <= steps rows
+    placed = results.withColumn("block", F.call_function("div", nth - F.lit(1), F.lit(24)))
+    exact = prefix_percentiles(
+        placed, shots, ["panel_id"], "block", "latency_ns", "n", around, names, 1e6, steps // 24 + 1
+    )
+    between = {
+        f"{n}_near": F.col(n).between(F.col(f"{n}_least"), F.col(f"{n}_most")) for n in LATENCY_NAMES
+    }
+    joined = shots.join(exact, ["panel_id", "block"]).withColumns(between)
+    errors = [f"{kind}_{m}" for kind in ("load", "price") for m in ("mae", "rmse", "mape")]
+    return r6(joined.select("panel_id", "snapshot", "events_processed", *errors, *between))

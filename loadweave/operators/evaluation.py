@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from loadweave.functions import metrics as M
 from loadweave.functions.expressions import clip_low, price, price_actual
 from loadweave.operators.baselines import BASELINES, baseline_columns
+from loadweave.operators.prefix_quantiles import prefix_percentiles
 from loadweave.plans.joins import attach
-from loadweave.plans.layout import SKETCH_SIZE, lay_out, running
+from loadweave.plans.layout import lay_out, running
 from loadweave.plans.windows import WindowColumns
+from loadweave.session import checkpointed
 from loadweave.settings import PanelSpec, Settings
 
 
@@ -78,7 +80,7 @@ def exact_percentiles(
     Counts per distinct value (combined map-side), a running count over the distinct
     values, then the values at the wanted ranks: no group is gathered anywhere.
     """
-    counts = (
+    counts = checkpointed(
         df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
     )
     layout = lay_out(counts, keys, [value], rows_per_chunk=rows_per_chunk)
@@ -148,44 +150,53 @@ def cumulative_snapshots(
     """Errors over results 1..every*k for k = 1, 2, ...; an incomplete tail gives none.
 
     Rows add up to blocks of ``every`` (map-side), blocks to running sums: MAE, RMSE
-    and MAPE are all rebuilt from sums and counts. ``latency`` adds p50/p95/p99 in
-    milliseconds from quantile sketches merged the same way (about 0.7 % of rank off).
+    and MAPE are all rebuilt from sums and counts. ``latency`` adds the exact p50/p95/p99 of
+    the results so far in milliseconds (0 where none was measured).
     """
     layout = lay_out(results, keys, order, max_rows=max_rows, rows_per_chunk=rows_per_chunk)
     placed = layout.core(layout.df.withColumn("_pos", layout.position()))
     terms = M.sum_terms(F.col("load_actual_mw"), F.col("load_forecast_mw"), "_l")
     terms |= M.sum_terms(F.col("price_actual_usd_mwh"), F.col("price_forecast_usd_mwh"), "_p")
-    sketch = [F.kll_sketch_agg_bigint("latency_ns", F.lit(SKETCH_SIZE)).alias("_sketch")]
+    numbered = placed.withColumns(
+        terms | {"snapshot": F.call_function("div", F.col("_pos"), F.lit(every))}
+    )
+    timed = {"_timed": F.count("latency_ns")} if latency else {}
     blocks = (
-        placed.withColumns(terms)
-        .groupBy(*keys, F.call_function("div", F.col("_pos"), F.lit(every)).alias("snapshot"))
+        numbered.groupBy(*keys, "snapshot")
         .agg(
             F.count(F.lit(1)).alias("_rows"),
             *[F.sum(t).alias(t) for t in terms],
-            *(sketch if latency else []),
+            *[c.alias(n) for n, c in timed.items()],
         )
         .filter(F.col("_rows") == every)
     )
-    over = lay_out(
-        blocks,
-        keys,
-        ["snapshot"],
-        max_rows=None if max_rows is None else max_rows // every,
-        rows_per_chunk=rows_per_chunk,
-    )
-    sums = running(over, over.df, {f"_run{t}": t for t in terms})
-    shown = []
+    n_blocks = None if max_rows is None else max_rows // every + 1
+    if n_blocks is None:  # laying out would run all of the input for its sizes
+        blocks = checkpointed(blocks)
+    over = lay_out(blocks, keys, ["snapshot"], max_rows=n_blocks, rows_per_chunk=rows_per_chunk)
+    sums = over.core(running(over, over.df, {f"_run{t}": t for t in [*terms, *timed]}))
     if latency:
-        sums = running(over, sums, {"_merged": "_sketch"}, "sketch")
-        points = F.array(*[F.lit(q) for q in M.LATENCY_POINTS])
-        found = F.kll_sketch_get_quantile_bigint("_merged", points)
-        shown = [(found[i] / F.lit(1e6)).alias(n) for i, n in enumerate(M.LATENCY_NAMES)]
-    sums = over.core(sums)
+        asked = checkpointed(sums)
+        found = prefix_percentiles(
+            numbered,
+            asked.select(*keys, "snapshot", "_run_timed"),
+            keys,
+            "snapshot",
+            "latency_ns",
+            "_run_timed",
+            M.LATENCY_POINTS,
+            M.LATENCY_NAMES,
+            scale=1e6,
+            max_rows=n_blocks,
+            rows_per_chunk=rows_per_chunk,
+        )
+        filled = {n: F.coalesce(F.col(n), F.lit(0.0)) for n in M.LATENCY_NAMES}
+        sums = attach(asked, found, [*keys, "snapshot"]).withColumns(filled)
     totals = sums.select(
         *keys,
         (F.col("snapshot") + F.lit(1)).cast("long").alias("snapshot"),
         *[F.col(f"_run{t}").alias(t) for t in terms],
-        *shown,
+        *(M.LATENCY_NAMES if latency else ()),
     )
     return totals.select(
         *keys,

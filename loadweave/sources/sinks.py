@@ -68,6 +68,12 @@ def write_replay(
     return len(spark.read.parquet(path).inputFiles())
 
 
+def write_horizon(spark: SparkSession, path: str, schema: T.StructType, until, ts: str = "ts") -> None:
+    """Ends a bounded replay for watermarks: one last row that has nothing but a time."""
+    cells = [F.lit(until if f.name == ts else None).cast(f.dataType).alias(f.name) for f in schema]
+    spark.range(1).select(*cells).write.mode("append").parquet(path)
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """A small report as JSON lines."""
     report.write.mode("overwrite").json(path)

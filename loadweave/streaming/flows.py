@@ -217,19 +217,29 @@ def stream_forecast(
     ).withColumn("price_forecast_usd_mwh", price(F.col("load_forecast_mw"), settings))
 
 
-def stream_snapshots(results: DataFrame, panel: str = "panel_id", every: int = 24) -> DataFrame:
-    """Cumulative errors after every ``every`` results of a panel, as the batch operator."""
+def stream_snapshots(
+    results: DataFrame, panel: str = "panel_id", every: int = 24, latency: bool = False
+) -> DataFrame:
+    """Cumulative errors after every ``every`` results of a panel, as the batch operator.
+
+    ``latency`` adds p50/p95/p99 in milliseconds of the results so far (0 where none was
+    measured) from a sketch in state, see ``QuantileSketch`` for its error.
+    """
     spark = results.sparkSession
     ship_package(spark)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     terms = M.sum_terms(F.col("load_actual_mw"), F.col("load_forecast_mw"), "l_")
     terms |= M.sum_terms(F.col("price_actual_usd_mwh"), F.col("price_forecast_usd_mwh"), "p_")
+    ns = F.coalesce(F.col("latency_ns"), F.lit(NONE)).cast("long") if latency else F.lit(0)
     rows = results.select(
-        panel, "sequence_id", *[c.cast("double").alias(n) for n, c in terms.items()]
+        panel,
+        "sequence_id",
+        *[c.cast("double").alias(n) for n, c in terms.items()],
+        ns.alias("latency_ns"),
     )
     sums = rows.groupBy(panel).transformWithStateInPandas(
-        statefulProcessor=RunningSums(panel, every),
-        outputStructType=sums_schema(panel),
+        statefulProcessor=RunningSums(panel, every, latency),
+        outputStructType=sums_schema(panel, latency),
         outputMode="Append",
         timeMode="None",
     )
@@ -239,9 +249,41 @@ def stream_snapshots(results: DataFrame, panel: str = "panel_id", every: int = 2
         "events_processed",
         *M.from_terms("l_", "load_"),
         *M.from_terms("p_", "price_"),
+        *(M.LATENCY_NAMES if latency else ()),
     )
 
 
+def settle(
+    forecasts: DataFrame,
+    actuals: DataFrame,
+    actual: str,
+    step: str,
+    wait: str,
+    panel: str = "panel_id",
+    ts: str = "ts",
+) -> DataFrame:
+    """Each forecast once, with the load that was measured ``step`` after its time.
+
+    Both are streams and may lag each other: a forecast made at t waits in state for the
+    panel's actual of t + ``step``, an early actual for its forecast. What has not come when
+    both streams are ``wait`` past that time never will: the forecast then leaves with a NULL
+    ``load_actual_mw``. The watermarks of both sides clear the state. An actual that is
+    delivered repeatedly should pass ``once`` first, or it settles its forecast repeatedly.
+    """
+    spark = forecasts.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    due = (F.col(ts) + F.expr(f"INTERVAL {step}")).cast("timestamp")
+    made = forecasts.withColumn("_due", due).withWatermark("_due", wait)
+    came = actuals.select(
+        # never NULL, or the join would drop the horizon row before the watermark sees it
+        F.coalesce(F.col(panel), F.lit("\0")).alias("_of"),
+        F.col(ts).cast("timestamp").alias("_at"),
+        F.col(actual).alias("load_actual_mw"),
+    ).withWatermark("_at", wait)
+    same = (F.col(panel) == F.col("_of")) & (F.col("_due") == F.col("_at"))
+    return made.join(came, same, "leftOuter").drop("_due", "_of", "_at")
+
+
 def stream_messages(results: DataFrame) -> DataFrame:
     return forecast_messages(forecast_errors(results))
 

@@ -362,3 +362,36 @@ def test_request_validation(spark):
     assert (row.status, row.n_values) == ("rejected", 167)
     assert row.reason == "shortest array has 167 values, 168 needed"
     assert requests.request_features(table, SIX).count() == 0
+
+
+@pytest.mark.parametrize("chunk,far", [(None, 10**9), (400, 200)])
+def test_prefix_percentiles(spark, chunk, far):
+    """Exact at every block, with nulls, ties, negatives and groups of unequal length."""
+    import numpy as np
+
+    from loadweave.operators.prefix_quantiles import prefix_percentiles
+
+    rng = np.random.default_rng(7)
+    rows = []
+    for key, n, reach in (("a", 900, far), ("b", 130, 3), ("c", 24, 1), (None, 30, 100)):
+        rows += [(key, i // 10, None if i % 7 == 3 else int(rng.integers(-reach, reach))) for i in range(n)]
+    values = spark.createDataFrame(rows, "k string, b long, v long")
+    counted = {}
+    for key, b, v in rows:
+        counted.setdefault((key, b), []).extend([] if v is None else [v])
+    asked, want, points = [], {}, (0.0, 0.25, 0.5, 0.99, 1.0)
+    for key in ("a", "b", "c", None):
+        so_far = []
+        for b in sorted(x for k, x in counted if k == key):
+            so_far = so_far + counted[key, b]
+            asked.append((key, b, len(so_far)))
+            want[key, b] = np.quantile(so_far, points) / 10
+    asked = spark.createDataFrame(asked, "k string, b long, n long").filter("k is not null")
+    names = [f"q{i}" for i in range(len(points))]
+    args = (["k"], "b", "v", "n", points, names, 10.0, None, chunk)
+    got = prefix_percentiles(values.filter("k is not null"), asked, *args).collect()
+    assert len(got) == asked.count()
+    for r in got:
+        assert list(r)[2:] == pytest.approx(list(want[r["k"], r["b"]]))
+    none = prefix_percentiles(values.filter("false"), asked.filter("false"), *args)
+    assert none.count() == 0 and none.columns == ["k", "b", *names]

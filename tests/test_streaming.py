@@ -225,3 +225,34 @@ def test_a_replay_sent_twice_gives_the_rows_of_one(spark):
     rows.filter("sequence_id between 100 and 180").write.mode("append").parquet(path)
     got = drain(spark, flows.once(flows.replay_source(spark, path, rows.schema), "6 hours"))
     same(got, rows)
+
+
+def test_streamed_latency_is_near_the_exact_one(spark):
+    rows = results(spark, 400).withColumn(
+        "latency_ns", F.when(F.col("sequence_id") % 9 != 4, (F.col("sequence_id") * 7919) % 5003 * 1000)
+    )
+    got = drain(spark, flows.stream_snapshots(replay(spark, rows), every=24, latency=True))
+    same(got, evaluation.cumulative_snapshots(rows, latency=True))
+
+
+def test_sketch_stays_within_its_error():
+    from loadweave.streaming.state import QuantileSketch
+
+    rng = np.random.default_rng(3)
+    n = 200_000
+    for values in (rng.integers(0, 10**9, n), np.arange(n), np.arange(n)[::-1], rng.integers(0, 5, n)):
+        whole, halves = QuantileSketch(), [QuantileSketch(), QuantileSketch()]
+        for i, at in enumerate(range(0, n, 3001)):
+            whole.add(values[at : at + 3001])
+            whole = QuantileSketch(whole.to_bytes())
+            halves[i % 2].add(values[at : at + 3001])
+        halves[0].merge(halves[1])
+        points = np.linspace(0, 1, 41)
+        for sketch in (whole, halves[0]):
+            error = len(sketch.levels) / QuantileSketch.CAPACITY
+            assert error < 0.01 and sum(map(len, sketch.levels)) < 12_000
+            low = np.quantile(values, np.clip(points - error, 0, 1))
+            high = np.quantile(values, np.clip(points + error, 0, 1))
+            found = sketch.quantiles(points)
+            assert (found >= low).all() and (found <= high).all()
+    assert np.isnan(QuantileSketch().quantiles([0.5])).all()
