@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +34,10 @@ FOLD_SCHEMA = (
     "val_mae double, val_rmse double, val_mape double"
 )
 
+#: Trees after which the running forecast is checkpointed, and rows that are worth a task.
+CHECKPOINT_EVERY = 10
+ROWS_PER_TASK = 50_000
+
 
 @dataclass(frozen=True)
 class Trained:
@@ -36,19 +45,23 @@ class Trained:
     folds: DataFrame
     n_rows: int
     names: tuple[str, ...]
+    importances: tuple[float, ...]
 
 
-def learner(settings: Settings, trees: int) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol="features",
-        labelCol="target",
-        predictionCol="prediction",
-        lossType="squared",
-        maxIter=trees,
-        maxDepth=settings.tree_depth,
-        stepSize=settings.learning_rate,
-        seed=settings.model_seed,
-    )
+@dataclass(frozen=True)
+class Boosted:
+    """Trees on residuals: ``base + rate * (sum of the trees)``."""
+
+    base: float
+    rate: float
+    trees: tuple[DecisionTreeRegressionModel, ...]
+    errors: tuple[float, ...]
+
+    @property
+    def importances(self) -> np.ndarray:
+        """Normalised gain per feature, summed over the trees and normalised again."""
+        total = sum(t.featureImportances.toArray() for t in self.trees)
+        return total / total.sum() if total.sum() else total
 
 
 def best_iteration(errors: Sequence[float], patience: int) -> int:
@@ -63,19 +76,83 @@ def best_iteration(errors: Sequence[float], patience: int) -> int:
     return best + 1
 
 
-def first_trees(model: GBTRegressionModel, trees: int) -> GBTRegressionModel:
-    """The model as it stood after ``trees`` rounds."""
-    from pyspark import SparkContext
+def boost(rows: DataFrame, settings: Settings, rounds: int, patience: int | None = None) -> Boosted:
+    """Up to ``rounds`` trees, each fitted to what the ones before it leave, all shrunk by the
+    learning rate, from the mean on.
 
-    if trees >= model.getNumTrees:
-        return model
-    context = SparkContext._active_spark_context
-    kind = context._jvm.org.apache.spark.ml.regression
-    rounds = context._gateway.new_array(kind.DecisionTreeRegressionModel, trees)
-    weights = context._gateway.new_array(context._jvm.double, trees)
-    for i, tree in enumerate(list(model._java_obj.trees())[:trees]):
-        rounds[i], weights[i] = tree, float(model.treeWeights[i])
-    return GBTRegressionModel(kind.GBTRegressionModel(model.uid, rounds, weights))
+    ``rows``: features, target and ``held_out``; trees see the rows not held out. With
+    ``patience`` the mean absolute error on the held-out rows is taken after every tree, and
+    fitting ends (with the trees of the best round) once so many trees have not bettered it.
+    The running forecast is a cached column to which the latest trees add their steps; every ``CHECKPOINT_EVERY`` trees it is written to the checkpoint folder.
+    """
+    learner = DecisionTreeRegressor(
+        featuresCol="features",
+        labelCol="_left",
+        predictionCol="_step",
+        maxDepth=settings.tree_depth,
+        seed=settings.model_seed,
+    )
+    base = rows.filter(~F.col("held_out")).agg(F.avg("target")).first()[0]
+    now = rows.withColumn("_sum", F.lit(float(base or 0.0))).persist()
+    trees, errors, recent = [], [], []
+    try:
+        while len(trees) < rounds:
+            left = _moved(now, recent, settings).filter(~F.col("held_out"))
+            tree = learner.fit(
+                left.select("features", (F.col("target") - F.col("_moved")).alias("_left"))
+            )
+            trees.append(tree)
+            recent.append(tree)
+            moved = _moved(now, recent, settings)
+            if patience is not None:
+                miss = F.avg(F.abs(F.col("target") - F.col("_moved")))
+                errors.append(moved.filter("held_out").agg(miss).first()[0])
+                if len(errors) - best_iteration(errors, patience) >= patience:
+                    break
+            if len(recent) == CHECKPOINT_EVERY:
+                kept = moved.select("features", "target", "held_out", F.col("_moved").alias("_sum"))
+                after = kept.checkpoint(eager=True)
+                now.unpersist()
+                now, recent = after.persist(), []
+    finally:
+        now.unpersist()
+    if errors:
+        trees = trees[: best_iteration(errors, patience)]
+    return Boosted(float(base or 0.0), settings.learning_rate, tuple(trees), tuple(errors))
+
+
+def _moved(now: DataFrame, trees: Sequence[DecisionTreeRegressionModel], settings: Settings) -> DataFrame:
+    """``now`` with its running forecast moved on by ``trees``, as ``_moved``."""
+    moved = F.col("_sum")
+    for i, tree in enumerate(trees):
+        now = tree.setPredictionCol(f"_step{i}").transform(now)
+        moved = moved + F.lit(settings.learning_rate) * F.col(f"_step{i}")
+    return now.withColumn("_moved", moved)
+
+
+def tree_sql(tree: DecisionTreeRegressionModel, features: Sequence[str]) -> str:
+    """A fitted tree as a nested CASE over the expressions of its features."""
+    lines = iter(tree.toDebugString.splitlines()[1:])
+
+    def node() -> str:
+        line = next(lines).strip()
+        if line.startswith("Predict:"):
+            return f"{float(line.split()[1])!r}D"
+        feature, bound = re.fullmatch(r"If \(feature (\d+) <= (\S+)\)", line).groups()
+        below = node()
+        next(lines)  # the Else line
+        return f"CASE WHEN {features[int(feature)]} <= {float(bound)!r}D THEN {below} ELSE {node()} END"
+
+    return node()
+
+
+def as_model(boosted: Boosted, names: Sequence[str]) -> PipelineModel:
+    """The trees as one expression over the feature columns, which adds ``prediction``: it
+    scores inside code generation, in batch and in streams, and is saved as one stage."""
+    quoted = [f"`{n}`" for n in names]
+    steps = " + ".join(f"({tree_sql(t, quoted)})" for t in boosted.trees) or "0.0D"
+    value = f"{boosted.base!r}D + {boosted.rate!r}D * ({steps})"
+    return PipelineModel([SQLTransformer(statement=f"SELECT *, {value} AS prediction FROM __THIS__")])
 
 
 def assembler(names: Sequence[str]) -> VectorAssembler:
@@ -91,57 +168,64 @@ def fit_walk_forward(
 ) -> Trained:
     """Expanding folds with early stopping, then a final model on all rows.
 
-    Every fold is fitted on its train rows with all ``settings.trees`` rounds; the mean
-    absolute error of each round on the held-out rows decides, with patience, how many
-    of them the fold keeps.
-
-    The assembled rows are cached once for all fits. Folds are cut by each panel's
-    own row position, so every panel is validated on its own later rows. The final
-    model gets as many trees as the folds needed on average.
+    Every fold adds trees until ``settings.patience`` of them have not bettered the mean
+    absolute error on its held-out rows; the folds are fitted side by side. The assembled
+    rows are cached once for all fits. Folds are cut by each panel's own row position, so
+    every panel is validated on its own later rows. The final model gets as many trees as
+    the folds needed on average.
     """
     spark = features.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     names = feature_names(spec, settings)
-    vectors = assembler(names)
     placed = row_index(features, spec.keys, [spec.ts], "_pos", "_n", max_rows=max_rows)
-    rows = vectors.transform(placed).select("_pos", "_n", "features", "target").persist()
+    rows = assembler(names).transform(placed).select("_pos", "_n", "features", "target").persist()
+    n_rows = rows.count()
+    # a round is a dozen small jobs: no more tasks than the rows are worth
+    rows_of = rows.coalesce(n_rows // ROWS_PER_TASK + 1)
+    block = F.call_function("div", F.col("_n"), F.lit(settings.walk_forward_folds))
+
+    def fit_fold(fold: int) -> tuple:
+        last = fold == settings.walk_forward_folds - 1
+        start = block * F.lit(fold)
+        end = F.col("_n") if last else block * F.lit(fold + 1)
+        held_out = F.col("_pos") >= start
+        part = rows_of.filter(
+            (F.col("_pos") < end) & (held_out | (F.col("_pos") < start - F.lit(embargo)))
+        ).select("features", "target", held_out.alias("held_out"))
+        return fold, part, boost(part, settings, settings.trees, settings.patience)
+
     try:
-        n_rows = rows.count()
+        with ThreadPool(max(1, settings.walk_forward_folds - 1)) as pool:
+            fit = inheritable_thread_target(spark)(fit_fold)
+            fitted = pool.map(fit, range(1, settings.walk_forward_folds))
         found = []
-        block = F.call_function("div", F.col("_n"), F.lit(settings.walk_forward_folds))
-        for fold in range(1, settings.walk_forward_folds):
-            last = fold == settings.walk_forward_folds - 1
-            start = block * F.lit(fold)
-            end = F.col("_n") if last else block * F.lit(fold + 1)
-            held_out = F.col("_pos") >= start
-            part = rows.filter(
-                (F.col("_pos") < end) & (held_out | (F.col("_pos") < start - F.lit(embargo)))
-            ).withColumn("held_out", held_out)
-            known, later = part.filter("not held_out"), part.filter("held_out")
-            model = learner(settings, settings.trees).fit(known)
-            by_round = model.evaluateEachIteration(later, "absolute")
-            model = first_trees(model, best_iteration(by_round, settings.patience))
-            scored = model.transform(later)
-            errors = error_table(scored, [], "target", "prediction").first()
-            train_rows = known.count()
+        for fold, part, boosted in fitted:
+            columns = [F.col("_x")[i].alias(n) for i, n in enumerate(names)]
+            flat = part.withColumn("_x", vector_to_array("features")).select("target", "held_out", *columns)
+            scored = as_model(boosted, names).transform(flat)
+            known = part.filter("not held_out").count()
+            errors = error_table(scored.filter("held_out"), [], "target", "prediction").first()
             found.append(
                 (
                     fold,
-                    train_rows,
+                    known,
                     errors["n_samples"],
-                    model.getNumTrees,
+                    len(boosted.trees),
                     errors["mae"],
                     errors["rmse"],
                     errors["mape"],
                 )
             )
         folds = spark.createDataFrame(found, FOLD_SCHEMA)
-        trees = max(1, int(sum(f[3] for f in found) / len(found)))
-        final = learner(settings, trees).fit(rows)
+        trees = max(1, int(sum(f[3] for f in found) / max(1, len(found))))
+        whole = rows_of.select("features", "target", F.lit(False).alias("held_out"))
+        final = boost(whole, settings, trees)
     finally:
         rows.unpersist()
-    return Trained(PipelineModel([vectors, final]), folds, n_rows, tuple(names))
+    return Trained(
+        as_model(final, names), folds, n_rows, tuple(names), tuple(map(float, final.importances))
+    )
 
 
 def score(features: DataFrame, model: PipelineModel) -> DataFrame:
@@ -151,9 +235,8 @@ def score(features: DataFrame, model: PipelineModel) -> DataFrame:
 
 def feature_importances(spark: SparkSession, trained: Trained) -> DataFrame:
     """Normalised gain per feature."""
-    values = trained.model.stages[-1].featureImportances.toArray()
     return spark.createDataFrame(
-        [(n, float(v)) for n, v in zip(trained.names, values)], "feature string, importance double"
+        list(zip(trained.names, trained.importances)), "feature string, importance double"
     )
 
 

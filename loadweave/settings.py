@@ -35,10 +35,11 @@ class Settings:
     bucket_refill_rate: float = 5.0
     snapshot_every: int = 24
 
-    # Learner (Spark ML boosted trees; grows by depth, stops by patience on held-out rows).
+    # Learner (boosted Spark ML trees that grow by depth; folds stop by patience on held-out rows,
+    # ``trees`` is the most they may take).
     model_path: str = "artifacts/load_model"
-    trees: int = 60
-    patience: int = 10
+    trees: int = 2000
+    patience: int = 50
     tree_depth: int = 5
     learning_rate: float = 0.1
     model_seed: int = 42

@@ -102,3 +102,32 @@ def test_command_line(spark, tmp_path, monkeypatch):
     assert messages[0].panel_id == "all"
     first = json.loads(messages[0].message)
     assert "latency_p99_ms" in first and first["total_events"] == 300 - 169
+
+
+def test_boosting_stops_while_it_fits_and_scores_as_its_trees(spark, trained):
+    """Fitting ends ``patience`` trees after the best one; the saved expression adds up the
+    shrunk trees from the mean on."""
+    panel, fitted, _ = trained
+    noise = F.pmod(F.xxhash64("ts"), F.lit(1000)) - 500.0
+    target = (F.col("pjme") + noise).alias("target")
+    rows = panel.limit(300).select(target, "ts", *SIX.zones).cache()
+    rows = forecasting.assembler(SIX.zones).transform(rows)
+    held_out = (F.pmod(F.xxhash64("ts", F.lit(1)), F.lit(3)) == 0).alias("held_out")
+    part = rows.select("features", "target", held_out)
+    found = forecasting.boost(part, Settings(tree_depth=5), rounds=60, patience=4)
+    assert len(found.errors) < 60  # not the cap
+    assert len(found.trees) == forecasting.best_iteration(found.errors, 4) == len(found.errors) - 4
+    mean = part.filter("not held_out").agg(F.avg("target")).first()[0]
+    assert found.base == pytest.approx(mean)
+    small = forecasting.Boosted(found.base, 0.1, found.trees[:3], ())
+    scored = forecasting.as_model(small, list(SIX.zones)).transform(rows).select("features", "prediction")
+    for r in scored.limit(20).collect():
+        want = found.base + 0.1 * sum(t.predict(r.features) for t in found.trees[:3])
+        assert r.prediction == pytest.approx(want, rel=1e-12)
+    assert sum(found.importances) == pytest.approx(1.0)
+
+
+def test_the_fold_error_is_that_of_its_best_round(trained):
+    _, fitted, _ = trained
+    for r in fitted.folds.collect():
+        assert 0 < r.val_mae <= r.val_rmse
