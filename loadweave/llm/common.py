@@ -31,6 +31,19 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shipped(spark: SparkSession, value: object) -> Callable[[], object]:
+    """Broadcasts ``value``, also one of this subpackage's own classes, to workers that need
+    not have the subpackage; returns a function that gives it there, opened once per worker."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def opened() -> object:
+        if not hasattr(sent, "opened"):  # a worker keeps one such object for all its tasks
+            sent.opened = cloudpickle.loads(sent.value)
+        return sent.opened
+
+    return opened
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

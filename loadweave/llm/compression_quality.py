@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadweave.llm.common import byte_texts, map_batches, prepare
+from loadweave.llm.common import byte_texts, map_batches, prepare, shipped
 
 ROWS = 6000
 DICTIONARY = 512 << 10
@@ -119,6 +119,7 @@ def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
 ) -> Model:
     """Learn from labelled rows that are not held out; no more than ROWS of each class."""
+    prepare(docs.sparkSession)
     seeded = F.xxhash64(F.lit(7), F.col(id_col))
     known = labels.where(F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"), seeded.alias("_order"))
     counts = {r["_label"]: r["n"] for r in known.groupBy("_label").agg(F.count("*").alias("n")).collect()}
@@ -164,11 +165,11 @@ def fit(
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, held_out, score and predicted of every row."""
     spark = prepare(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(model)
+    shared = shipped(spark, model)
     kind = dict(docs.dtypes)[id_col]
     scored = map_batches(
         docs.select(id_col, text_col),
-        lambda b: {id_col: b.column(0), "score": shared.value.score(byte_texts(b.column(1)))},
+        lambda b: {id_col: b.column(0), "score": shared().score(byte_texts(b.column(1)))},
         f"`{id_col}` {kind}, score double",
     )
     predicted = (F.col("score") >= THRESHOLD).cast("int")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from loadweave.llm.common import arrow_schema, byte_texts, mix, prepare, sealed, stored, texts
+from loadweave.llm.common import arrow_schema, byte_texts, mix, prepare, sealed, shipped, stored, texts
 
 ORDER = 5
 PAD, END = 2, 3
@@ -329,7 +329,7 @@ RULES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repe
 def measured(docs: DataFrame, tables: list[tuple[DataFrame, DataFrame]], text_col: str, part_col: str | None = None) -> DataFrame:
     """``docs`` with the base rules' figures and the logarithm of the perplexity by the model ``part_col``."""
     model = collected(tables)
-    shared = docs.sparkSession.sparkContext.broadcast(model) if model else None
+    shared = shipped(docs.sparkSession, model) if model else None
     kinds = arrow_schema(RULES)
 
     def run(batches):
@@ -341,7 +341,7 @@ def measured(docs: DataFrame, tables: list[tuple[DataFrame, DataFrame]], text_co
             failed = [base_failed(b[0], b[4]) for b in base]
             logs = np.full(len(raw), np.nan)
             if shared:
-                logs = shared.value.log_perplexity([t.decode() for t in raw], parts_of(batch, part_col))
+                logs = shared().log_perplexity([t.decode() for t in raw], parts_of(batch, part_col))
             made = [*zip(*base), failed, pa.array(logs, from_pandas=True)]
             made = [x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(made, kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *kinds.names])
