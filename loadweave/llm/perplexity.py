@@ -43,7 +43,8 @@ BIN = 1000
 #: Letters handled at once inside a batch.
 LETTERS = 1 << 20
 SYMBOLS = b"#*$%&|<>"
-STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Odd 64-bit numbers of the hash: multiples of the golden ratio's fraction, mixed.
+FACTORS = mix(np.arange(1, ORDER + 4, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
 def base_rules(raw: bytes) -> tuple[int, int, int, int, int]:
@@ -97,13 +98,15 @@ def letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def gram_hashes(codes: np.ndarray, n: int, part: np.ndarray) -> np.ndarray:
-    """Hash of the n code points from each place on and of the model (``part``) at the place."""
+    """Hash of the n code points from each place on and of the model (``part``) at the place:
+    a sum of products with odd numbers, whose leading bits are the well mixed ones."""
     size = max(len(codes) - n + 1, 0) if n else len(part)
-    h = part[:size] ^ np.uint64(n)
+    h = part[:size] * FACTORS[-1]
+    h += FACTORS[n]
+    wide = codes.astype(np.uint64) if n else codes
     for k in range(n):
-        h = (h ^ codes[k : k + size].astype(np.uint64)) * STEP
-        h ^= h >> np.uint64(29)
-    return mix(h)
+        h += wide[k : k + size] * FACTORS[k]
+    return h
 
 
 def scored_places(size: np.ndarray) -> np.ndarray:
@@ -160,7 +163,8 @@ def counted(docs: DataFrame, text_col: str, part_col: str | None) -> DataFrame:
             n = np.diff(np.append(first, len(packed)))
             grams = np.stack([alphabet[packed[first] >> 12 * (ORDER - 1 - k) & 4095] for k in range(ORDER)], 1)
         else:
-            _, first, n = np.unique(gram_hashes(codes, ORDER)[at], return_index=True, return_counts=True)
+            own_part = np.zeros(len(codes), np.uint64)
+            _, first, n = np.unique(gram_hashes(codes, ORDER, own_part)[at], return_index=True, return_counts=True)
             grams = np.stack([codes[at[first] + k] for k in range(ORDER)], 1)
         return np.ascontiguousarray(grams.astype(np.uint32)), n
 
@@ -238,17 +242,22 @@ class SortedHashes:
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         order = np.argsort(keys)
         self.keys, self.values = keys[order], values[order].astype(np.float32)
-        self.bits = max(1, int(math.log2(len(keys) + 1)))
+        self.bits = max(1, int(math.log2(len(keys) + 1)) + 1)
         lead = (self.keys >> np.uint64(64 - self.bits)).astype(np.int64)
         self.start = np.searchsorted(lead, np.arange((1 << self.bits) + 1)).astype(np.int32)
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """The value of each hash; nan where there is none."""
-        out = np.full(len(h), np.nan, np.float32)
-        lead = (h >> np.uint64(64 - self.bits)).astype(np.int64)
-        at, stop = self.start[lead], self.start[lead + 1]
-        left = np.flatnonzero(at < stop)
-        at, stop, h = at[left], stop[left], h[left]
+        if not len(self.keys):
+            return np.full(len(h), np.nan, np.float32)
+        lead = (h >> np.uint64(64 - self.bits)).view(np.int64)
+        at = self.start.take(lead)
+        out = self.values.take(at, mode="clip")  # most stand at the first place of their bits
+        left = np.flatnonzero(self.keys.take(at, mode="clip") != h)
+        out[left] = np.nan
+        at, stop, h = at[left] + 1, self.start.take(lead[left] + 1), h[left]
+        some = at < stop
+        left, at, stop, h = left[some], at[some], stop[some], h[some]
         while left.size:
             hit = self.keys[at] == h
             out[left[hit]] = self.values[at[hit]]
@@ -405,13 +414,12 @@ def judged(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_c
         lang_col, text_col = names[lang_col], names[text_col]
     split = halves(docs, lang_col, text_col)
     tables = probabilities(split, text_col, "_m")
-    if keep:
-        slim = stored(measured(split.select(lang_col, text_col, "_o"), tables, text_col, "_o").drop(text_col, "_o"), "rules")
-        rows = measured(split.drop("_m"), tables, text_col, "_o").drop("_o")
-    else:
-        slim = split.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), "_o")
-        rows = slim = stored(measured(slim, tables, "text", "_o").drop("text", "_o"), "rules")
-        lang_col = "lang"
+    if not keep:
+        split = split.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), "_m", "_o")
+        lang_col, text_col = "lang", "text"
+    found = measured(split.drop("_m"), tables, text_col, "_o").drop("_o")
+    # scored once and read twice, for the bands and for the verdicts
+    rows = slim = stored(found if keep else found.drop(text_col), "rules")
     band = stored(bands(slim, lang_col), "bands")
     joined = rows.join(F.broadcast(band) if band.count() <= 1000 else band, F.col(lang_col).eqNullSafe(F.col("_lang")), "left")
     inside = F.coalesce(F.col("log_perplexity").between(F.col("_low"), F.col("_high")), F.lit(True))
