@@ -107,14 +107,67 @@ def model_beats_all(spark, sf):
     return evaluation.beats_all(errors, baselines, ["panel_id"])
 
 
+def _report(spark, sf):
+    model = sinks.load_model(spark, fitted(spark, sf)[2])
+    held, steps = _holdout(spark, sf)
+    results = forecasting.forecast(held, model, DAILY, SETTINGS, carry=("af_lag_1",))
+    return forecasting.evaluation_report(results, DAILY, "af_lag_1", steps)
+
+
 @query
 def evaluation_report(spark, sf):
-    held, results, steps = _forecast(spark, sf)
     target = scratch_path(spark, "evaluation-report")
-    sinks.write_report(forecasting.evaluation_report(held, results, DAILY, steps), target)
+    sinks.write_report(_report(spark, sf), target)
     return spark.read.json(target)
 
 
+@query
+def evaluation_baselines(spark, sf):
+    """What of the report does not hang on the fit: rows, and the scores of the baselines."""
+    report = evaluation_report(spark, sf)
+    scores = report.select("evaluation_set_rows", F.inline("baseline_results"))
+    return r6(scores)
+
+
+@query
+def training_checks(spark, sf):
+    """What of a training report, read back, does not hang on the fit."""
+    report = training_report(spark, sf)
+    gains = F.map_values(F.from_json(F.to_json("feature_importances"), "map<string,double>"))
+    total = F.aggregate(gains, F.lit(0.0), lambda a, b: a + b)
+    return r6(
+        report.select(
+            "n_training_rows",
+            "n_features",
+            F.array_join(F.sort_array("feature_names"), ",").alias("feature_names"),
+            F.size("fold_results").cast("long").alias("n_folds"),
+            F.size("baseline_results").cast("long").alias("n_baselines"),
+            F.size(gains).cast("long").alias("n_importances"),
+            total.alias("sum_importances"),
+        )
+    )
+
+
+@query
+def model_reload(spark, sf):
+    """A saved model scores every held-out row as the fitted one does."""
+    trained, _, path = fitted(spark, sf)
+    held, _ = _holdout(spark, sf)
+    again = sinks.load_model(spark, path)
+    ours = forecasting.score(held, trained.model).select("panel_id", "ts", "prediction")
+    theirs = forecasting.score(held, again).select("panel_id", "ts", F.col("prediction").alias("again"))
+    joined = ours.join(theirs, ["panel_id", "ts"])
+    return joined.select("panel_id", "ts", (F.col("prediction") == F.col("again")).alias("same_score"))
+
+
+@query
+def clipped_forecast(spark, sf):
+    """A forecast that is often negative, for every supplier: no load is, and the price follows."""
+    events, _ = X.events_supplier(spark, sf)
+    made = evaluation.two_stage(events, F.col("ao") - F.lit(20.0), F.col("af"), F.col("sequence_id"))
+    return r6(made.drop("latency_ns"))
+
+
 @query
 def request_answers(spark, sf):
     load, cost = F.col("load_forecast_mw"), F.col("price_forecast_usd_mwh")

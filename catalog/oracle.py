@@ -814,3 +814,23 @@ ORACLE["current_beats_all"] = (
     f"ours AS (WITH {feature_cte('fallback')} SELECT panel_id, {mae('target', 'af')} AS e FROM feats GROUP BY panel_id) "
     f"SELECT panel_id, {r('e')} AS model_mae, e < m AS model_beats_all_baselines FROM ours JOIN least USING (panel_id)"
 )
+_HELD = part_of_panel("sequence_id >= k", "k")
+_TRAIN = part_of_panel("sequence_id < k", "0")
+_FEATURES = [*features("fallback")]
+ORACLE["evaluation_baselines"] = (
+    f"SELECT (SELECT count(*) FROM (WITH {feature_cte('fallback', _HELD)} SELECT * FROM feats)) AS evaluation_set_rows, "
+    f"baseline, mae, rmse, mape, n_samples FROM ({baseline_eval('af_lag_1', 'shifted', _HELD)})"
+)
+ORACLE["training_checks"] = (
+    f"WITH {feature_cte('fallback', _TRAIN)} SELECT count(*) AS n_training_rows, {len(_FEATURES)}::BIGINT AS n_features, "
+    f"'{','.join(sorted(_FEATURES))}' AS feature_names, 4::BIGINT AS n_folds, 3::BIGINT AS n_baselines, "
+    f"{len(_FEATURES)}::BIGINT AS n_importances, 1.0::DOUBLE AS sum_importances FROM feats"
+)
+ORACLE["model_reload"] = (
+    f"WITH {feature_cte('fallback', _HELD)} SELECT panel_id, ts, true AS same_score FROM feats"
+)
+ORACLE["clipped_forecast"] = (
+    f"WITH {NUMBERED_SUPPLIER}, made AS (SELECT *, greatest(ao - 20, 0.0::DOUBLE) AS p FROM events_) "
+    f"SELECT panel_id, ts, sequence_id, {r('p')} AS load_forecast_mw, {r(price('p'))} AS price_forecast_usd_mwh, "
+    f"{r('af')} AS load_actual_mw, {r(price('af') + ' + ' + noise('sequence_id'))} AS price_actual_usd_mwh FROM made"
+)

@@ -53,10 +53,10 @@ def evaluate(spark: SparkSession, settings: Settings, out: str) -> None:
     panel, spec = load_clean(spark, settings)
     model = sinks.load_model(spark, settings.model_path)
     held = forecasting.holdout_features(panel, spec, settings)
-    results = forecasting.forecast(held, model, spec, settings)
-    sinks.write_report(
-        forecasting.evaluation_report(held, results, spec), f"{out}/evaluation_report"
-    )
+    series = f"{spec.target}_lag_1"
+    results = forecasting.forecast(held, model, spec, settings, carry=(series,))
+    report = forecasting.evaluation_report(results, spec, series)
+    sinks.write_report(report, f"{out}/evaluation_report")
 
 
 def stream(spark: SparkSession, settings: Settings, out: str, slices: int) -> None:

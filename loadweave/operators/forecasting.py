@@ -13,16 +13,18 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadweave.functions import metrics as M
+from loadweave.operators.baselines import BASELINES
 from loadweave.operators.evaluation import (
-    beats_all,
     error_table,
     evaluate_baselines,
     exact_percentiles,
     fold_averages,
     two_stage,
+    with_baselines,
 )
 from loadweave.operators.features import build_features, feature_names
 from loadweave.operators.splits import chrono_split, row_index
@@ -340,8 +342,9 @@ def forecast(
     spec: PanelSpec,
     settings: Settings = Settings(),
     align: str = "next_row",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Two-stage results of the model.
+    """Two-stage results of the model, with the columns ``carry`` of the features.
 
     ``next_row`` scores the forecast made at t against the load it forecasts;
     ``same_row`` against the load at t.
@@ -355,38 +358,56 @@ def forecast(
         actual,
         F.col("sequence_id"),
         settings=settings,
-        keep=(*spec.keys, spec.ts),
+        keep=(*spec.keys, spec.ts, *carry),
     )
 
 
 def evaluation_report(
-    features: DataFrame,
     results: DataFrame,
     spec: PanelSpec,
+    series: str,
     max_rows: int | None = None,
     measured_latency: bool = False,
 ) -> DataFrame:
-    """One row: rows, load and price errors, latency (null unless ``latency_ns`` was measured), baselines, whether all are beaten."""
-    load = error_table(results, [], "load_actual_mw", "load_forecast_mw")
-    money = error_table(results, [], "price_actual_usd_mwh", "price_forecast_usd_mwh")
-    shape = F.struct("mae", "rmse", "mape")
-    baselines = evaluate_baselines(
-        features, spec.keys, [spec.ts], "target", f"{spec.target}_lag_1", max_rows=max_rows, by=[]
+    """One row: rows, load and price errors, latency (null unless ``latency_ns`` was measured), baselines, whether all are beaten.
+
+    ``results`` carry the column ``series`` that the baselines shift. Model, price and
+    baselines are scored by one aggregate over one pass.
+    """
+    rows = with_baselines(results, spec.keys, [spec.ts], series, max_rows=max_rows)
+    pairs = {
+        "load": ("load_actual_mw", "load_forecast_mw"),
+        "price": ("price_actual_usd_mwh", "price_forecast_usd_mwh"),
+    } | {name: ("load_actual_mw", name) for name in BASELINES}
+    aggregates = []
+    for name, (actual, predicted) in pairs.items():
+        a, p = F.col(actual), F.col(predicted)
+        scored = F.when(p.isNotNull(), a) if name in BASELINES else a
+        aggregates += M.error_metrics(scored, p, f"{name}_")
+        aggregates.append(M.n_samples(a, p).alias(f"{name}_n"))
+    errors = rows.agg(*aggregates)
+
+    def shape(name: str) -> list[Column]:
+        return [F.col(f"{name}_{m}").alias(m) for m in ("mae", "rmse", "mape")]
+
+    scores = [
+        F.struct(F.lit(b).alias("baseline"), *shape(b), F.col(f"{b}_n").alias("n_samples"))
+        for b in BASELINES
+    ]
+    wins = F.lit(True)
+    for b in BASELINES:
+        wins = wins & (F.col("load_mae") < F.col(f"{b}_mae"))
+    unknown = [F.lit(None).cast("double").alias(n) for n in M.LATENCY_NAMES]
+    report = errors.select(
+        F.col("load_n").alias("evaluation_set_rows"),
+        F.struct(*shape("load")).alias("load"),
+        F.struct(*shape("price")).alias("price"),
+        F.struct(*unknown).alias("latency"),
+        F.sort_array(F.array(*scores)).alias("baseline_results"),
+        wins.alias("model_beats_all_baselines"),
     )
     if "latency_ns" in results.columns and measured_latency:
-        latency = exact_percentiles(results.withColumn("_all", F.lit(1)), ["_all"], "latency_ns")
-    else:
-        unknown = [F.lit(None).cast("double").alias(f"p{p}_ms") for p in (50, 95, 99)]
-        latency = load.select(*unknown)
-    wins = beats_all(
-        load.withColumn("_all", F.lit(1)), baselines.withColumn("_all", F.lit(1)), ["_all"]
-    )
-    return _side_by_side(
-        [
-            load.select(F.col("n_samples").alias("evaluation_set_rows"), shape.alias("load")),
-            money.select(shape.alias("price")),
-            latency.select(F.struct("p50_ms", "p95_ms", "p99_ms").alias("latency")),
-            _as_list(baselines, "baseline_results"),
-            wins.select("model_beats_all_baselines"),
-        ]
-    )
+        timed = exact_percentiles(results.withColumn("_all", F.lit(1)), ["_all"], "latency_ns")
+        timed = timed.select(F.struct(*M.LATENCY_NAMES).alias("latency"))
+        report = _side_by_side([report.drop("latency"), timed])
+    return report
