@@ -43,6 +43,23 @@ def csv_roundtrip(spark, sf):
     return r6(readers.read_panel_csv(spark, path, CSV).drop("ingest_seq"))
 
 
+@query
+def csv_dirty(spark, sf):
+    """Two sets of files with faults, the second in another column order with one column more
+    and NaN for missing values, read by name and cleaned."""
+    dirty = X.raw_dirty(spark, sf)[0]
+    path = scratch_path(spark, "dirty-csv")
+    first, again = (dirty.filter(F.col("ingest_seq") % 10 == copy) for copy in (0, 1))
+    sinks.write_panel_csv(first, f"{path}/a", DAILY, CSV)
+    names = dict(zip(DAILY.zones, CSV.zones))
+    again.select(
+        *[F.col(z).alias(names[z]) for z in reversed(DAILY.zones)],
+        F.lit("x, y").alias("note"),
+        F.date_format("ts", sinks.TS_FORMAT).alias(CSV.datetime_col),
+    ).write.option("header", True).option("nullValue", "NaN").csv(f"{path}/b")
+    return r6(cleaning.clean(readers.read_panel_csv(spark, f"{path}/*", CSV), DAILY))
+
+
 @query
 def select_required(spark, sf):
     wide = X.panel_daily_sparse(spark, sf).withColumn("unused", F.lit(1))

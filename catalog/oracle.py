@@ -530,6 +530,7 @@ ORACLE["outlier_report"] = f"WITH {CLEAN}, {_LIMITS} " + " UNION ALL ".join(
     for z in ZONES
 )
 ORACLE["clean_panel"] = f"WITH {CLEAN} SELECT panel_id, ts, {rounded(ZONES)} FROM cleaned"
+ORACLE["csv_dirty"] = ORACLE["clean_panel"]
 
 
 def _gaps(cte: str, source: str, step: float) -> str:

@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import csv
+import functools
+import re
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
+from urllib.parse import unquote
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadweave.functions.expressions import micros, nan_to_null
+from loadweave.plans.joins import attach
 from loadweave.plans.layout import lay_out
 from loadweave.settings import PanelSpec, Settings
 
+LOCAL_ROOT = "^file:/+"
 GRAINS = {"day": 86_400_000_000, "hour": 3_600_000_000}
 
 
@@ -39,30 +47,52 @@ def read_panel_csv(
     settings: Settings = Settings(),
     panel_id: str = "all",
 ) -> DataFrame:
-    """A header CSV of hourly zone loads as a panel: panel_id, ingest_seq, ts, zones.
-
-    Only the timestamp and zone columns are kept, in lower case. A missing file is
-    an error, and so is a file whose header has the columns in another order. ``ingest_seq`` orders rows by file, block and position in the block (not
-    by the order in which tasks read them) and decides which duplicate is the last.
+    """Header CSV files of hourly zone loads as a panel: panel_id, ingest_seq, ts, zones.
+
+    Only the timestamp and zone columns are kept, in lower case. Files may have their columns
+    in different orders and different columns besides: files with the same header are scanned
+    together, each by its own names. A missing path is an error, and so is a file that lacks a
+    column. ``ingest_seq`` orders rows by file name, block and position in the block (not by
+    the order in which tasks read them) and decides which duplicate is the last; it is one
+    number of fixed width, so deduplication stays a hash aggregate.
     """
-    try:
-        names = spark.read.option("header", True).csv(path).columns
-    except AnalysisException as error:
-        raise FileNotFoundError(f"no readable CSV at {path}") from error
     wanted = {settings.datetime_col: T.StringType()} | {
         zone: T.DoubleType() for zone in settings.zones
     }
-    missing = [c for c in wanted if c not in names]
-    if missing:
-        raise MissingColumns(f"the panel lacks the columns {missing}")
-    schema = T.StructType([T.StructField(n, wanted.get(n, T.StringType())) for n in names])
-    raw = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
+    groups = _by_header(spark, path)
+    for names, files in groups.items():
+        missing = [c for c in wanted if c not in names]
+        if missing:
+            raise MissingColumns(f"the panel lacks the columns {missing} in {files[0]}")
+    ranks = {f: i for i, f in enumerate(sorted(f for files in groups.values() for f in files))}
+    # the two places that name a file write a local one's root differently
+    named = [(re.sub(LOCAL_ROOT, "file:/", f), i) for f, i in ranks.items()]
+    ranked = spark.createDataFrame(named, "_file string, _rank long")
+    parts = []
+    for names, files in groups.items():
+        schema = T.StructType([T.StructField(n, wanted.get(n, T.StringType())) for n in names])
+        raw = (
+            spark.read.schema(schema)
+            .option("header", True)
+            .option("enforceSchema", False)
+            .option("mode", "FAILFAST")
+            .csv([unquote(f) for f in files])
+        )
+        parts.append(
+            raw.select(
+                *wanted,
+                F.regexp_replace("_metadata.file_path", LOCAL_ROOT, "file:/").alias("_file"),
+                F.col("_metadata.file_block_start").alias("_block"),
+                F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)).alias("_row"),
+            )
+        )
+    rows = functools.reduce(DataFrame.unionByName, parts)
+    rows = attach(rows, ranked, ["_file"], len(ranks))
+    wide = "decimal(38,0)"
+    place = F.expr(
+        f"cast(cast(_rank as {wide}) * {10**26}BD + _block * {10**10}BD + _row as {wide})"
     )
-    return raw.select(
+    return rows.select(
         F.lit(panel_id).alias("panel_id"),
         place.alias("ingest_seq"),
         parse_ts(F.col(settings.datetime_col)).alias("ts"),
@@ -70,6 +100,28 @@ def read_panel_csv(
     )
 
 
+def _by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files below ``path`` by their header; of each only the first line is fetched."""
+    try:
+        files = spark.read.text(path).inputFiles()
+    except AnalysisException as error:
+        raise FileNotFoundError(f"no readable CSV at {path}") from error
+
+    def header(file: str) -> tuple[str, ...]:
+        first = spark.read.text(unquote(file)).head(1)
+        return tuple(next(csv.reader([first[0]["value"]]))) if first else ()
+
+    with ThreadPool(8) as pool:
+        names = pool.map(inheritable_thread_target(spark)(header), files)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, found in zip(files, names):
+        if found:  # a file without a line has no rows
+            groups.setdefault(found, []).append(file)
+    if not groups:
+        raise FileNotFoundError(f"no readable CSV at {path}")
+    return groups
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

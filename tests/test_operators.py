@@ -395,3 +395,22 @@ def test_prefix_percentiles(spark, chunk, far):
         assert list(r)[2:] == pytest.approx(list(want[r["k"], r["b"]]))
     none = prefix_percentiles(values.filter("false"), asked.filter("false"), *args)
     assert none.count() == 0 and none.columns == ["k", "b", *names]
+
+
+def test_csv_files_with_different_headers(spark, tmp_path):
+    settings = Settings(target_zone="T", other_zones=("O",))
+    spec = type(SIX)(target="t", others=("o",))
+    (tmp_path / "a b.csv").write_text('Datetime,T,O\n2010-01-01 00:00:00,1,2\n2010-01-01 01:00:00,NaN,4\n')
+    (tmp_path / "c.csv").write_text('"O","no, te",Datetime,T\n20,"x, y",2010-01-01 00:00:00,10\n,z,2010-01-01 02:00:00,3\n')
+    (tmp_path / "d.csv").write_text("O,no,Datetime,T\n6,,2010-01-01 03:00:00,-5\n7,,2010-01-01 03:00:00,-6\n")
+    (tmp_path / "e.csv").write_text("")
+    raw = readers.read_panel_csv(spark, str(tmp_path), settings)
+    assert raw.count() == 6 and dict(raw.dtypes)["ingest_seq"] == "decimal(38,0)"
+    once = cleaning.dedup_last(raw, ["panel_id", "ts"], "ingest_seq")
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    rows = sorted((r.ts.hour, r.t, r.o) for r in cleaning.clean(raw, spec).collect())
+    assert rows == [(0, 10.0, 20.0), (3, 0.0, 7.0)]
+    (tmp_path / "f.csv").write_text("Datetime,T\n2010-01-01 00:00:00,1\n")
+    with pytest.raises(readers.MissingColumns, match="f.csv"):
+        readers.read_panel_csv(spark, str(tmp_path), settings)
