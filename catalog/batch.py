@@ -425,6 +425,16 @@ def feature_matrix_suppliers(spark, sf):
     return r6(features.build_features(panel, DAILY, policy="fallback", max_rows=steps))
 
 
+@query
+def feature_interval(spark, sf):
+    """The features of one quarter of every supplier, from its rows and what they reach back to."""
+    panel, steps = X.panel_supplier(spark, sf)
+    made = features.build_interval(
+        panel, DAILY, "1997-04-01 00:00:00", "1997-06-30 00:00:00", policy="fallback", max_rows=steps
+    )
+    return r6(made)
+
+
 @query
 def feature_matrix_chunked(spark, sf):
     panel, _ = X.panel_daily(spark, sf)

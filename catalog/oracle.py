@@ -582,6 +582,10 @@ ORACLE["rolling_std"] = _rolling(("std",), (24, 48, 168))
 ORACLE["rolling_minmax"] = _rolling(("min", "max"), (24,))
 ORACLE["feature_matrix"] = feature_query("fallback")
 ORACLE["feature_matrix_ieee"] = feature_query("ieee")
+ORACLE["feature_interval"] = (
+    feature_query("fallback", DENSE_SUPPLIER)
+    + " WHERE ts BETWEEN TIMESTAMP '1997-04-01 00:00:00' AND TIMESTAMP '1997-06-30 00:00:00'"
+)
 ORACLE["feature_matrix_suppliers"] = feature_query("fallback", DENSE_SUPPLIER)
 _compat = features("fallback", compat=True)
 ORACLE["features_online_compat"] = (

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadweave.functions.expressions import calendar, ratio
+from loadweave.plans.joins import attach
 from loadweave.plans.layout import Layout, lay_out
 from loadweave.plans.windows import WindowColumns
+from loadweave.session import checkpointed
 from loadweave.settings import PanelSpec, Settings
 
 CALENDAR_NAMES = (
@@ -197,6 +199,48 @@ def build_features(
     return drop_warmup(out, telling) if drop else out
 
 
+def build_interval(
+    df: DataFrame,
+    spec: PanelSpec,
+    start,
+    end,
+    settings: Settings = Settings(),
+    keep: Sequence[str] = (),
+    **how,
+) -> DataFrame:
+    """``build_features`` of the rows from ``start`` to ``end``, without the whole panel.
+
+    A first pass over keys and times finds where each panel's history for ``start`` begins and
+    the row after ``end`` lies; at most ``history_rows`` rows a panel and task are kept for it.
+    The wide rows are then read only between the least and the greatest of these times, a range
+    that reaches a Parquet scan, and only from each panel's own beginning on.
+    """
+    ts = F.col(spec.ts)
+
+    def at(time) -> Column:  # by its text, so no time zone comes in
+        return F.lit(str(time)).cast(df.schema[spec.ts].dataType)
+
+    start, end = at(start), at(end)
+    times = df.select(*spec.keys, spec.ts)
+    newest = Window.partitionBy(*spec.keys).orderBy(ts.desc())
+    before = (
+        times.filter(ts < start)
+        .withColumn("_rank", F.row_number().over(newest))
+        .filter(F.col("_rank") <= history_rows(settings))
+        .groupBy(*spec.keys)
+        .agg(F.min(ts).alias("_from"))
+    )
+    after = times.filter(ts > end).groupBy(*spec.keys).agg(F.min(ts).alias("_to"))
+    bounds = checkpointed(before.join(after, list(spec.keys), "full"))
+    low, high, panels = bounds.agg(F.min("_from"), F.max("_to"), F.count(F.lit(1))).first()
+    near = df.filter((ts >= (at(low) if low else start)) & (ts <= (at(high) if high else end)))
+    rows = attach(near, bounds, list(spec.keys), panels).filter(
+        (ts >= F.coalesce("_from", start)) & (ts <= F.coalesce("_to", end))
+    )
+    made = build_features(rows.drop("_from", "_to"), spec, settings, keep=keep, **how)
+    return made.filter(ts.between(start, end))
+
+
 def build_features_online_compat(
     df: DataFrame,
     spec: PanelSpec,

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 from loadweave.operators.features import (
     build_features,
     build_features_online_compat,
+    build_interval,
     feature_names,
     telling_columns,
 )
+from loadweave.session import scratch_path
 from loadweave.settings import PanelSpec, Settings
 from tests.helpers import RAMP, SIX, noisy, ramp, same
 
@@ -146,3 +148,20 @@ def test_empty_and_short(spark):
     assert build_features(ramp(spark, 0), SIX).count() == 0
     assert build_features(ramp(spark, 169), SIX).count() == 0
     assert build_features(ramp(spark, 170), SIX).count() == 1
+
+
+def test_interval_equals_the_filtered_matrix_and_reads_a_range(spark):
+    rows = noisy(spark, 900).unionByName(noisy(spark, 300, "q")).unionByName(noisy(spark, 350, "r"))
+    rows = rows.filter("panel_id != 'q' or sequence_id % 3 != 1")  # a panel with gaps reaches further back
+    path = scratch_path(spark, "panel")
+    rows.repartition(3).sortWithinPartitions("ts").write.parquet(path)
+    stored = spark.read.parquet(path)
+    start, end = "2010-01-12 05:00:00", "2010-01-15 05:00:00"
+    got = build_interval(stored, SIX, start, end, keep=("sequence_id",))
+    want = build_features(rows, SIX, keep=("sequence_id",)).filter(f"ts between '{start}' and '{end}'")
+    assert want.count() > 100
+    same(got, want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts,2010-01" in plan and "LessThanOrEqual(ts,2010-01-15T06:00" in plan
+    early = build_interval(stored, SIX, "2009-01-01 00:00:00", "2009-02-01 00:00:00")
+    assert early.count() == 0
