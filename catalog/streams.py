@@ -82,6 +82,16 @@ def stream_features_windowed(spark, sf):
     return r6(table.select("panel_id", "ts", *feature_names(DAILY)))
 
 
+@query
+def stream_features_windowed_suppliers(spark, sf):
+    """Last rows of every supplier in buckets: events and buckets grow with the data."""
+    panel, _ = X.panel_supplier(spark, sf)
+    events = panel.select("panel_id", X.day_number(F.col("ts")).alias("sequence_id"), "ts", *DAILY.zones)
+    work = scratch_path(spark, "windowed")
+    table = flows.run_windowed(_replay(spark, events), DAILY, SETTINGS, work)
+    return r6(table.select("panel_id", "ts", *feature_names(DAILY)))
+
+
 @query
 def stream_snapshots(spark, sf):
     results = _results(spark, sf)[0].drop("latency_ns")

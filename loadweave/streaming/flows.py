@@ -44,6 +44,9 @@ from loadweave.streaming.state import (
 )
 
 
+MANIFEST = "bucket int, slot int"
+
+
 def event_schema(spec: PanelSpec) -> T.StructType:
     fields = [
         T.StructField(spec.panel, T.StringType()),
@@ -327,24 +330,36 @@ def windowed_batches(
     tails: str,
     out: str,
     rows_per_chunk: int | None = None,
+    buckets: int = 256,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: online features by the batch operator itself.
 
-    Each micro-batch is joined with the last rows of its panels from the tail table of
-    the batch before, runs through ``build_features`` and leaves its own tail table.
-    A panel holding most of a micro-batch is cut into chunks like any long group,
-    which keyed state cannot do. Tables are named by batch number and written in full,
-    so a repeated batch overwrites itself.
+    Each micro-batch is joined with the last rows of its panels, runs through
+    ``build_features`` and leaves the new last rows. A panel holding most of a micro-batch
+    is cut into chunks like any long group, which keyed state cannot do.
+
+    The last rows lie in ``buckets`` by hash of the panel, each with two slots; a small
+    manifest names the newer slot of each bucket. A micro-batch reads and writes only the
+    buckets of its panels, into the slot that the manifest before it does not name, so what
+    it moves follows the panels it touches, space is at most twice the last rows, and a
+    repeated batch finds what it found before and overwrites itself.
     """
 
     def process(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         need = history_rows(settings) + 1
         columns = [spec.panel, "sequence_id", spec.ts, *spec.zones]
+        bucket = F.pmod(F.xxhash64(spec.panel), F.lit(buckets)).cast("int")
         fresh = batch.select(*columns)
-        tail = fresh.filter("false")
+        slots = {}
         if number > 0:
-            tail = spark.read.schema(fresh.schema).parquet(f"{tails}/batch={number - 1}")
+            manifest = spark.read.schema(MANIFEST).parquet(f"{tails}/manifest={(number - 1) % 2}")
+            slots = {r["bucket"]: r["slot"] for r in manifest.collect()}  # at most ``buckets``
+        touched = [r[0] for r in fresh.select(bucket).distinct().collect()]  # likewise
+        paths = [f"{tails}/rows/_slot={slots[k]}/_bucket={k}" for k in touched if k in slots]
+        tail = fresh.filter("false")
+        if paths:
+            tail = spark.read.schema(fresh.schema).parquet(*paths)
             newest = tail.groupBy(spec.panel).agg(F.max(spec.ts).alias("_newest"))
             fresh = (
                 attach(fresh, newest, [spec.panel])
@@ -366,9 +381,21 @@ def windowed_batches(
             made.filter("_new").drop("_new").write.mode("overwrite").parquet(
                 f"{out}/batch={number}"
             )
-            latest(rows.drop("_new"), [spec.panel], [spec.ts], need).write.mode(
+            into = {k: 1 - slots.get(k, 1) for k in touched}
+            second = [k for k, slot in into.items() if slot == 1]
+            last = latest(rows.drop("_new"), [spec.panel], [spec.ts], need)
+            (
+                last.withColumn("_bucket", bucket)
+                .withColumn("_slot", F.col("_bucket").isin(second).cast("int"))
+                .repartition("_bucket")
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("_slot", "_bucket")
+                .parquet(f"{tails}/rows")
+            )
+            spark.createDataFrame([*(slots | into).items()], MANIFEST).coalesce(1).write.mode(
                 "overwrite"
-            ).parquet(f"{tails}/batch={number}")
+            ).parquet(f"{tails}/manifest={number % 2}")
         finally:
             rows.unpersist()
 

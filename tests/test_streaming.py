@@ -1,6 +1,7 @@
 """Streams give what the batch operators give."""
 
 import datetime
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -86,6 +87,40 @@ def test_windowed_batches_equal_batch(spark, chunk):
     same(got.select(*SHOWN), want.select(*SHOWN))
 
 
+def test_windowed_batches_move_only_the_buckets_they_touch(spark):
+    """Panels in buckets of their own; a batch of one panel leaves the others' files alone, and
+    a batch that runs again, as after a lost driver, changes nothing."""
+    base = noisy(spark, 420).select("panel_id", "sequence_id", "ts", *SIX.zones).drop("panel_id")
+    rows = base.withColumn("panel_id", F.explode(F.array(*[F.lit(f"p{i}") for i in range(6)])))
+    rows = rows.select("panel_id", "sequence_id", "ts", *SIX.zones)
+    work = scratch_path(spark, "buckets").removeprefix("file:")
+    process = flows.windowed_batches(SIX, Settings(), f"{work}/tails", f"{work}/out", buckets=64)
+
+    def files():
+        return {str(p): p.stat().st_mtime_ns for p in Path(f"{work}/tails/rows").rglob("*.parquet")}
+
+    parts = [
+        rows.filter("sequence_id < 200"),
+        rows.filter("panel_id = 'p3' and sequence_id between 200 and 300"),
+        rows.filter("sequence_id >= 200"),
+        rows.filter("panel_id = 'p3' and sequence_id < 0"),
+    ]
+    process(parts[0], 0)
+    first = files()
+    process(parts[1], 1)
+    second = files()
+    assert first.items() <= second.items() and len(second) == len(first) + 1
+    process(parts[1], 1)
+    process(parts[2], 2)
+    process(parts[2], 2)
+    third = files()
+    process(parts[3], 3)  # without a row: nothing is written but the manifest
+    assert files() == third and len(third) == 12
+    made = spark.read.option("basePath", f"{work}/out").parquet(f"{work}/out/batch=*").drop("batch")
+    want = build_features(rows, SIX, keep=("sequence_id",), with_target=False)
+    same(made.select(*SHOWN), want.select(*SHOWN))
+
+
 def test_disorder_within_the_delay(spark):
     """Rows arrive up to 8 places out of order; what leaves is in order and complete up
     to the final watermark."""
