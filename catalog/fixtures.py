@@ -111,15 +111,16 @@ def latency_stand_in(sequence: Column) -> Column:
 
 
 def requests(spark: SparkSession, sf: str) -> DataFrame:
-    """Every 50th day, the 168 values before and including it; every 7th request one short."""
+    """Every day with 168 values up to and including it asks with these; every 7th request is
+    one short."""
     events, steps = indexed_daily(spark, sf)
     w = Window.partitionBy("panel_id").orderBy("ts").rowsBetween(-167, 0)  # <= steps rows
     taken = events.select(
         F.col("sequence_id").alias("_s"),
         "ts",
         *[F.collect_list(z).over(w).alias(z) for z in DAILY.zones],
-    ).filter((F.col("_s") >= 167) & ((F.col("_s") - 167) % 50 == 0))
-    request_id = F.call_function("div", F.col("_s") - 167, F.lit(50))
+    ).filter(F.col("_s") >= 167)
+    request_id = F.col("_s") - 167
     short = F.col("request_id") % 7 == 3
     return taken.withColumn("request_id", request_id).select(
         "request_id",

@@ -370,8 +370,8 @@ REQUESTS = (
         f'list("{z}") OVER (ORDER BY ts ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) AS "{z}"'
         for z in ZONES
     )
-    + " FROM dense), taken AS (SELECT (sequence_id - 167) // 50 AS request_id, * FROM windows "
-    "WHERE sequence_id >= 167 AND (sequence_id - 167) % 50 = 0), "
+    + " FROM dense), taken AS (SELECT sequence_id - 167 AS request_id, * FROM windows "
+    "WHERE sequence_id >= 167), "
     "requests AS (SELECT request_id::BIGINT AS request_id, ts, af, ao, "
     'CASE WHEN request_id % 7 = 3 THEN nf[1:167] ELSE nf END AS nf, "no", rf, ro FROM taken), '
     "checked AS (SELECT *, least("
@@ -697,6 +697,11 @@ ORACLE["stream_features_windowed"] = (
     "WINDOW w AS (PARTITION BY panel_id ORDER BY ts)) "
     f"SELECT panel_id, ts, {rounded(_served)} FROM every WHERE {_known}"
 )
+ORACLE["stream_features_windowed_suppliers"] = (
+    f"WITH {DENSE_SUPPLIER}, every AS (SELECT panel_id, ts, {cols(_served)} FROM dense "
+    "WINDOW w AS (PARTITION BY panel_id ORDER BY ts)) "
+    f"SELECT panel_id, ts, {rounded(_served)} FROM every WHERE {_known}"
+)
 ORACLE["stream_snapshots"] = ORACLE["metric_snapshots"]
 ORACLE["stream_messages"] = ORACLE["forecast_messages"]
 
