@@ -39,7 +39,14 @@ class Dictionaries:
     bad: bytes
 
 
-_COMPRESSORS: dict[int, tuple] = {}
+class _OfProcess(dict):
+    """What a process keeps for itself: it is sent to others empty."""
+
+    def __reduce__(self):
+        return type(self), ()
+
+
+_COMPRESSORS = _OfProcess()
 
 
 def compressors(pair: Dictionaries) -> tuple:
@@ -118,7 +125,10 @@ def held_out(id_col):
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
 ) -> Model:
-    """Learn from labelled rows that are not held out; no more than ROWS of each class."""
+    """Learn from labelled rows that are not held out; no more than ROWS of each class.
+
+    Of documents that share a drawn id the least text counts, once.
+    """
     prepare(docs.sparkSession)
     seeded = F.xxhash64(F.lit(7), F.col(id_col))
     known = labels.where(F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"), seeded.alias("_order"))
@@ -134,6 +144,8 @@ def fit(
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).join(
         F.broadcast(drawn), F.col("_doc") == F.col("_id")
     )
+    # one text for each drawn id, the least if the id repeats: what is collected below is bounded
+    texts = texts.groupBy("_id", "_label", "_order").agg(F.min("_text").alias("_text"))
     for_words = F.pmod("_order", F.lit(2)) == 0
     place = F.pmod(F.shiftrightunsigned("_order", 8), F.greatest(F.length("_text") - PASSAGE, F.lit(1))).cast("int") + 1
     per_class = DICTIONARY // PASSAGE

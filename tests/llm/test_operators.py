@@ -320,6 +320,19 @@ def test_compression_classifier(spark, table_of):
     assert {r["score"] for r in compression_quality.score(docs, flat).collect()} == {1.0}
 
 
+def test_a_repeated_labelled_id_counts_once(spark, table_of):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(["calm", "river", "night"] if i % 2 else ["BUY", "###", "win"]) for _ in range(60))) for i in range(120)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, quality int")
+    plain = compression_quality.fit(table_of(rows), labels)
+    hot = compression_quality.fit(table_of(rows + rows[7:9] * 400 + [(7, None)] * 50), labels)
+    assert hot.pair == plain.pair
+    texts = [t.encode() for _, t in rows] + [b""]
+    assert np.array_equal(hot.score(texts), plain.score(texts))
+    none = table_of(rows).where("doc_id = 999")
+    assert compression_quality.score(none, compression_quality.fit(none, labels)).count() == 0
+
+
 def test_empty_tables(table_of):
     none = table_of([(1, "x")]).where("doc_id = 2")
     assert suffix_dedup.dedup_digests(none).count() == 0
