@@ -200,6 +200,28 @@ def test_versions(table_of, odd_rows):
     assert tuple(one[0])[:3] == brute.versions([(7, "abc")])[0]
 
 
+def test_likeness_is_the_share_of_common_paragraphs(table_of, odd_rows):
+    from collections import Counter
+
+    def share(a, b):
+        a, b = (Counter(x for p in bloom_sketch.PARAGRAPH.findall(t) if (x := p.strip())) for t in (a, b))
+        either = sum((a | b).values())
+        return sum((a & b).values()) / either if either else 1.0
+
+    many = "\n\n".join(f"paragraph {k % 700}" for k in range(900))
+    rows = [*odd_rows, (80, many), (79, many.replace("paragraph 5", "other 5")), (78, many)]
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] is not None, r[1] or ""))
+    want = []
+    for i, (d, t) in enumerate(order):
+        t, other = t or "", order[(i + 1) % len(order)][1] or ""
+        k = len(t) // 3
+        want.append((d, share(t, t[: len(t) - k] + other[:k]), share(t, other)))
+    got = bloom_sketch.version_fingerprints(table_of(rows)).collect()
+    assert sorted(((r["doc_id"], r["near_edited"], r["near_next"]) for r in got), key=KEY) == sorted(want, key=KEY)
+    mark = {r["doc_id"]: r["fingerprint"] for r in got}
+    assert mark[78] == mark[80] != mark[79]
+
+
 def test_sketch_recovers_any_difference():
     rng = np.random.default_rng(2)
     for common, a, b in ((0, 0, 0), (50, 1, 0), (10, 40, 90), (0, 3000, 1), (5000, 10, 10)):
