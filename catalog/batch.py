@@ -677,3 +677,16 @@ def request_rows(spark, sf):
 @query
 def request_features(spark, sf):
     return r6(requests.request_features(X.requests(spark, sf), DAILY))
+
+
+@query
+def request_validation_suppliers(spark, sf):
+    """Requests of every supplier for the features of training, which need one value more."""
+    rows = requests.validate_requests(X.requests_supplier(spark, sf), DAILY, convention="parity")
+    return rows.select("request_id", "ts", F.col("n_values").cast("long").alias("n_values"), "status", "reason")
+
+
+@query
+def request_features_parity(spark, sf):
+    """The answers of every supplier's requests rest on the very features of the batch matrix."""
+    return r6(requests.request_features(X.requests_supplier(spark, sf), DAILY, convention="parity"))

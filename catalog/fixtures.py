@@ -168,3 +168,24 @@ def panel_supplier(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
         panel=F.col("l_suppkey").cast("string"),
     )
     return densify(sparse, DAILY, first, steps, "day"), steps
+
+
+def requests_supplier(spark: SparkSession, sf: str) -> DataFrame:
+    """On the first of every month every supplier with 169 days of history asks with these;
+    every 7th request lacks a zone's last value."""
+    events, _ = events_supplier(spark, sf)
+    w = Window.partitionBy("panel_id").orderBy("ts").rowsBetween(-168, 0)  # <= steps rows
+    lists = [F.collect_list(z).over(w).alias(z) for z in DAILY.zones]
+    taken = events.select("panel_id", "sequence_id", "ts", *lists).filter(
+        (F.dayofmonth("ts") == 1) & (F.size("af") == 169)
+    )
+    request_id = F.col("panel_id").cast("long") * 100_000 + F.col("sequence_id")
+    short = F.col("request_id") % 7 == 3
+    return taken.withColumn("request_id", request_id).select(
+        "request_id",
+        "ts",
+        *[
+            F.when(short & F.lit(z == "nf"), F.slice(z, 1, 168)).otherwise(F.col(z)).alias(z)
+            for z in DAILY.zones
+        ],
+    )

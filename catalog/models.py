@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from catalog import fixtures as X
 from catalog.batch import Query
 from catalog.fixtures import DAILY, r6
@@ -14,7 +16,8 @@ from pyspark.sql import functions as F
 
 SETTINGS = Settings()
 QUERIES: dict[str, Query] = {}
-_FITTED: dict[tuple[str, str], tuple] = {}
+FEW_TREES = replace(SETTINGS, trees=4)
+_FITTED: dict[tuple[str, ...], tuple] = {}
 
 
 def query(fn: Query) -> Query:
@@ -34,6 +37,26 @@ def fitted(spark, sf):
     return _FITTED[key]
 
 
+def fitted_suppliers(spark, sf):
+    """(trained, baseline scores, path of the saved model) over the panels of all suppliers: rows
+    grow with the data, trees are few."""
+    key = (spark.sparkContext.applicationId, sf, "suppliers")
+    if key not in _FITTED:
+        panel, steps = X.panel_supplier(spark, sf)
+        trained, baselines = forecasting.train(panel, DAILY, FEW_TREES, steps)
+        path = scratch_path(spark, "load-model")
+        sinks.save_model(trained.model, path)
+        _FITTED[key] = (trained, baselines, path)
+    return _FITTED[key]
+
+
+def _forecast_suppliers(spark, sf):
+    model = sinks.load_model(spark, fitted_suppliers(spark, sf)[2])
+    panel, steps = X.panel_supplier(spark, sf)
+    held = forecasting.holdout_features(panel, DAILY, SETTINGS, max_rows=steps)
+    return forecasting.forecast(held, model, DAILY, SETTINGS, carry=("af_lag_1",)), steps
+
+
 def _holdout(spark, sf):
     panel, steps = X.panel_daily(spark, sf)
     return forecasting.holdout_features(panel, DAILY, SETTINGS, max_rows=steps), steps
@@ -55,6 +78,12 @@ def fold_sizes(spark, sf):
     return fitted(spark, sf)[0].folds.select("fold", "train_rows", "val_rows")
 
 
+@query
+def fold_sizes_suppliers(spark, sf):
+    """Folds over the panels of all suppliers, cut by each panel's own rows."""
+    return fitted_suppliers(spark, sf)[0].folds.select("fold", "train_rows", "val_rows")
+
+
 @query
 def top_features(spark, sf):
     return forecasting.top_features(forecasting.feature_importances(spark, fitted(spark, sf)[0]))
@@ -95,6 +124,12 @@ def forecast_rows(spark, sf):
     return checked(_forecast(spark, sf)[1])
 
 
+@query
+def forecast_rows_suppliers(spark, sf):
+    """Forecasts of every supplier's held-out rows by one model of all suppliers."""
+    return checked(_forecast_suppliers(spark, sf)[0].drop("af_lag_1"))
+
+
 @query
 def model_beats_all(spark, sf):
     held, results, steps = _forecast(spark, sf)
@@ -129,6 +164,16 @@ def evaluation_baselines(spark, sf):
     return r6(scores)
 
 
+@query
+def evaluation_baselines_suppliers(spark, sf):
+    """One report over the held-out rows of all suppliers: rows, and the scores of the baselines."""
+    results, steps = _forecast_suppliers(spark, sf)
+    target = scratch_path(spark, "evaluation-report")
+    sinks.write_report(forecasting.evaluation_report(results, DAILY, "af_lag_1", steps), target)
+    report = spark.read.json(target)
+    return r6(report.select("evaluation_set_rows", F.inline("baseline_results")))
+
+
 @query
 def training_checks(spark, sf):
     """What of a training report, read back, does not hang on the fit."""
@@ -188,3 +233,22 @@ def request_forecast(spark, sf):
     scored = forecasting.score(rows, model)
     clipped = scored.withColumn("prediction", F.greatest("prediction", F.lit(0.0)))
     return requests.answer_requests(clipped, DAILY, "prediction", "load_model", SETTINGS)
+
+
+@query
+def request_answers_suppliers(spark, sf):
+    """Answers to every supplier's requests, on the features of training; no latency is measured."""
+    model = sinks.load_model(spark, fitted_suppliers(spark, sf)[2])
+    rows = requests.request_features(X.requests_supplier(spark, sf), DAILY, SETTINGS, "parity")
+    scored = forecasting.score(rows, model)
+    clipped = scored.withColumn("prediction", F.greatest("prediction", F.lit(0.0)))
+    answers = requests.answer_requests(clipped, DAILY, "prediction", "load_model", SETTINGS)
+    load, cost = F.col("load_forecast_mw"), F.col("price_forecast_usd_mwh")
+    return answers.select(
+        "request_id",
+        "timestamp_predicted",
+        (load == F.bround(load, 1)).alias("load_rounded"),
+        (cost == F.bround(cost, 2)).alias("price_rounded"),
+        "inference_latency_ms",
+        "model_version",
+    )

@@ -345,14 +345,16 @@ def baseline_cols(series: str, convention: str) -> dict[str, str]:
     }
 
 
-def baseline_eval(series: str, convention: str, dense: str = DENSE) -> str:
+def baseline_eval(series: str, convention: str, dense: str = DENSE, each: str = "panel_id") -> str:
+    """Scores of the baselines, of each panel or (``each`` empty) of all together."""
     made = baseline_cols(series, convention)
+    key, group = (f"{each}, ", f"GROUP BY {each}") if each else ("", "")
     parts = []
     for name in made:
         a = f"(CASE WHEN {name} IS NOT NULL THEN target END)"
         parts.append(
-            f"SELECT panel_id, '{name}' AS baseline, {cols(error_cols(a, name))}, "
-            f"{n_both('target', name)} AS n_samples FROM base GROUP BY panel_id"
+            f"SELECT {key}'{name}' AS baseline, {cols(error_cols(a, name))}, "
+            f"{n_both('target', name)} AS n_samples FROM base {group}"
         )
     return (
         f"WITH {feature_cte('fallback', dense)}, base AS (SELECT panel_id, target, {cols(made)} FROM feats "
@@ -844,3 +846,70 @@ ORACLE["clipped_forecast"] = (
     f"SELECT panel_id, ts, sequence_id, {r('p')} AS load_forecast_mw, {r(price('p'))} AS price_forecast_usd_mwh, "
     f"{r('af')} AS load_actual_mw, {r(price('af') + ' + ' + noise('sequence_id'))} AS price_actual_usd_mwh FROM made"
 )
+
+
+# The same for every supplier
+
+SERIAL_SUPPLIER = DENSE_SUPPLIER.replace(
+    "dense AS (SELECT ids.panel_id, days.ts, ",
+    "dense AS (SELECT ids.panel_id, days.ts, date_diff('day', DATE '1970-01-01', days.ts::DATE) AS sequence_id, ",
+)
+
+
+def part_of_suppliers(condition: str, first: str) -> str:
+    """Every supplier's train or stream part, numbered from ``first``."""
+    return (
+        DENSE_SUPPLIER.replace("dense AS (SELECT ids", "panel AS (SELECT ids")
+        + ", placed AS (SELECT *, row_number() OVER (PARTITION BY panel_id ORDER BY ts) - 1 AS pos, "
+        "floor(count(*) OVER (PARTITION BY panel_id) * 0.8::DOUBLE)::BIGINT AS k FROM panel), "
+        f"dense AS (SELECT * EXCLUDE (pos, k), pos - {first} AS sequence_id FROM placed WHERE {condition})"
+    )
+
+
+_HELD_EACH = part_of_suppliers("pos >= k", "k")
+_compat_known = "row_number() OVER (PARTITION BY panel_id ORDER BY ts) > 167"
+ORACLE["stream_features_compat_suppliers"] = (
+    f"WITH {DENSE_SUPPLIER}, made AS (SELECT panel_id, ts, {_compat_known} AS known, {cols(_compat)} FROM dense "
+    "WINDOW w AS (PARTITION BY panel_id ORDER BY ts)) "
+    f"SELECT panel_id, ts, {rounded(_compat)} FROM made WHERE known"
+)
+ORACLE["stream_messages_suppliers"] = ORACLE["forecast_messages"].replace(RESULTS, RESULTS_SUPPLIER)
+ORACLE["stream_forecast_rows_suppliers"] = forecast_rows(SERIAL_SUPPLIER)
+ORACLE["forecast_rows_suppliers"] = forecast_rows(_HELD_EACH)
+ORACLE["stream_late_suppliers"] = (
+    f"WITH {arrived(NUMBERED_SUPPLIER)}, every AS (SELECT panel_id, ts, sequence_id, {cols(_served)} FROM used "
+    "WINDOW w AS (PARTITION BY panel_id ORDER BY ts)) "
+    f"SELECT panel_id, ts, sequence_id, {rounded(_served)} FROM every WHERE {_known}"
+)
+ORACLE["fold_sizes_suppliers"] = (
+    f"WITH {feature_cte('fallback', part_of_suppliers('pos < k', '0'))}, "
+    "sized AS (SELECT panel_id, count(*) AS n FROM feats GROUP BY panel_id) "
+    "SELECT fold, sum((n // 5) * fold)::BIGINT AS train_rows, sum(CASE WHEN fold = 4 THEN n "
+    "ELSE (n // 5) * (fold + 1) END - (n // 5) * fold)::BIGINT AS val_rows "
+    "FROM sized, (VALUES (1), (2), (3), (4)) f(fold) GROUP BY fold"
+)
+ORACLE["evaluation_baselines_suppliers"] = (
+    f"SELECT (SELECT count(*) FROM (WITH {feature_cte('fallback', _HELD_EACH)} SELECT * FROM feats)) AS evaluation_set_rows, "
+    f"baseline, mae, rmse, mape, n_samples FROM ({baseline_eval('af_lag_1', 'shifted', _HELD_EACH, each='')})"
+)
+_ASKED = "day(ts) = 1 AND pos >= 168"
+_ASKING = (
+    NUMBERED_SUPPLIER + ", numbered AS (SELECT *, panel_id::BIGINT * 100000 + sequence_id AS request_id, "
+    "row_number() OVER (PARTITION BY panel_id ORDER BY ts) - 1 AS pos FROM events_)"
+)
+ORACLE["request_validation_suppliers"] = (
+    f"WITH {_ASKING} SELECT request_id, ts, (CASE WHEN request_id % 7 = 3 THEN 168 ELSE 169 END)::BIGINT AS n_values, "
+    "CASE WHEN request_id % 7 = 3 THEN 'rejected' ELSE 'accepted' END AS status, "
+    "CASE WHEN request_id % 7 = 3 THEN 'shortest array has 168 values, 169 needed' END AS reason "
+    f"FROM numbered WHERE {_ASKED}"
+)
+ORACLE["request_features_parity"] = (
+    f"WITH {_ASKING}, every AS (SELECT panel_id, ts, request_id, pos, {cols(_served)} FROM numbered "
+    "WINDOW w AS (PARTITION BY panel_id ORDER BY ts)) "
+    f"SELECT request_id, ts, {rounded(_served)} FROM every WHERE {_ASKED} AND request_id % 7 <> 3"
+)
+ORACLE["request_answers_suppliers"] = (
+    f"WITH {_ASKING} SELECT request_id, (ts + INTERVAL 1 HOUR)::TIMESTAMP AS timestamp_predicted, "
+    "true AS load_rounded, true AS price_rounded, NULL::DOUBLE AS inference_latency_ms, "
+    f"'load_model' AS model_version FROM numbered WHERE {_ASKED} AND request_id % 7 <> 3"
+)

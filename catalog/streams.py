@@ -7,7 +7,7 @@ import datetime
 from catalog import fixtures as X
 from catalog.batch import Query, _persistence, _results
 from catalog.fixtures import DAILY, r6
-from catalog.models import checked, fitted
+from catalog.models import checked, fitted, fitted_suppliers
 from loadweave.functions.metrics import LATENCY_NAMES, LATENCY_POINTS
 from loadweave.operators.features import feature_names
 from loadweave.operators.prefix_quantiles import prefix_percentiles
@@ -75,6 +75,19 @@ def stream_features_compat(spark, sf):
     return r6(_drain(spark, made, "features").select("panel_id", "ts", *feature_names(DAILY)))
 
 
+def _supplier_events(spark, sf):
+    return X.events_supplier(spark, sf)[0].select("panel_id", "sequence_id", "ts", *DAILY.zones)
+
+
+@query
+def stream_features_compat_suppliers(spark, sf):
+    """Serving features of every supplier's buffer."""
+    made = flows.online_features(
+        _replay(spark, _supplier_events(spark, sf)), DAILY, convention="online_compat"
+    )
+    return r6(_drain(spark, made, "features").select("panel_id", "ts", *feature_names(DAILY)))
+
+
 @query
 def stream_features_windowed(spark, sf):
     work = scratch_path(spark, "windowed")
@@ -105,6 +118,14 @@ def stream_messages(spark, sf):
     return r6(sinks.parse_messages(table, sinks.FORECAST_SCHEMA))
 
 
+@query
+def stream_messages_suppliers(spark, sf):
+    """The results of every supplier as messages."""
+    results = r6(_persistence(*X.events_supplier(spark, sf))[0])
+    table = _drain(spark, flows.stream_messages(_replay(spark, results)), "messages")
+    return r6(sinks.parse_messages(table, sinks.FORECAST_SCHEMA))
+
+
 @query
 def stream_forecast(spark, sf):
     model = sinks.load_model(spark, fitted(spark, sf)[2])
@@ -117,6 +138,14 @@ def stream_forecast_rows(spark, sf):
     return checked(stream_forecast(spark, sf))
 
 
+@query
+def stream_forecast_rows_suppliers(spark, sf):
+    """Every supplier's events as a stream of features, forecasts and prices."""
+    model = sinks.load_model(spark, fitted_suppliers(spark, sf)[2])
+    made = flows.online_features(_replay(spark, _supplier_events(spark, sf)), DAILY, mode="label")
+    return checked(_drain(spark, flows.stream_forecast(made, model, DAILY), "forecasts"))
+
+
 def _arriving(spark, events, slices):
     """Events in order of arrival, with an end mark per panel, as a stream."""
     path = scratch_path(spark, "replay")
@@ -134,6 +163,15 @@ def stream_late(spark, sf):
     return r6(table.select("panel_id", "ts", "sequence_id", *feature_names(DAILY)))
 
 
+@query
+def stream_late_suppliers(spark, sf):
+    """Features of every supplier's events that arrive in disorder, repeatedly or far too late."""
+    stream = _arriving(spark, _supplier_events(spark, sf), 3)
+    made = flows.online_features(stream, DAILY, delay="10 days", arrival="arrival")
+    table = _drain(spark, made, "late")
+    return r6(table.select("panel_id", "ts", "sequence_id", *feature_names(DAILY)))
+
+
 @query
 def stream_late_events(spark, sf):
     """What became of every arrival of every supplier, and each supplier's counters."""

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from loadweave.functions.expressions import present, price, price_actual
 from loadweave.operators import cleaning, evaluation, quality, release, requests, splits
-from loadweave.operators.features import build_features_online_compat
+from loadweave.operators.features import build_features, build_features_online_compat
 from loadweave.session import scratch_path
 from loadweave.settings import Settings
 from loadweave.sources import readers, sinks
@@ -356,6 +356,33 @@ def test_request_features_equal_the_window_form(spark):
         same(direct, by_windows, 6)
 
 
+def test_parity_requests_equal_the_training_features(spark):
+    """The request of a row, with all values up to it, has the row's features in the matrix."""
+    for n in (169, 200):
+        table = request_table(spark, n)
+        direct = requests.request_features(table, SIX, convention="parity")
+        matrix = build_features(noisy(spark, n), SIX, with_target=False, max_rows=n)
+        last = matrix.filter(F.col("ts") == table.first()["ts"]).drop("panel_id")
+        same(direct.drop("request_id"), last, 6)
+        assert direct.count() == 1
+        assert requests.expand_requests(table, SIX, convention="parity").count() == 169
+    assert requests.request_features(request_table(spark, 168), SIX, convention="parity").count() == 0
+    with pytest.raises(ValueError):
+        requests.request_features(table, SIX, convention="other")
+
+
+def test_latency_that_was_not_measured_is_null(spark):
+    rows = spark.createDataFrame([(1, 100.26)], "request_id long, p double").withColumn(
+        "ts", F.lit("2020-01-01 00:00:00").cast("timestamp_ntz")
+    )
+    plain, timed = (
+        requests.answer_requests(rows, SIX, "p", "m", latency_ns=latency).first()
+        for latency in (None, F.lit(2_345_678))
+    )
+    assert plain.inference_latency_ms is None and timed.inference_latency_ms == 2.35
+    assert plain.load_forecast_mw == 100.3 and str(plain.timestamp_predicted) == "2020-01-01 01:00:00"
+
+
 def test_request_validation(spark):
     table = request_table(spark, 168).withColumn("dom", F.slice("dom", 1, 167))
     row = requests.validate_requests(table, SIX).first()
