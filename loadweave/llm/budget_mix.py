@@ -10,6 +10,7 @@ square root of twice its words in the worst case.
 
 Which documents of a length are taken is decided by a seeded hash of the row. Lengths with
 many documents are first split by the hash, so no window sees more than a piece of them.
+Targets are found in a table of the sources, of which the driver sees sums alone.
 
 Rules: a null or empty text has size 0 and is never repeated; the null source is a source
 of its own and weighs last; rows that share everything are interchangeable; sizes that a
@@ -30,26 +31,45 @@ TABLE = 1 << 16
 PIECE = 2000
 
 
-def targets(sizes: dict, weights: list[float], total: float, most: float = 2.0) -> dict:
-    """Target of each source: ``total`` by weight, none above ``most`` times its size.
+def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: float = 2.0) -> DataFrame:
+    """Adds ``_target`` to ``sizes`` (_source, _source_size): ``share`` times all words, by weight,
+    none above ``most`` times its size.
 
     Sources are ordered by code point with the null source last; the weights repeat. What
-    a full source cannot take is shared again among the others by weight.
+    a full source cannot take is shared again among the others by weight. Every round is one
+    sum over the sources, of which there may be any number; full sources stay full.
     """
-    order = sorted(sizes, key=lambda s: (s is None, s or ""))
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
-    out, free, left = {}, list(order), total
-    while free:
-        share = sum(weight[s] for s in free)
-        full = [s for s in free if left * weight[s] / share > most * sizes[s]]
-        if not full:
-            out.update((s, left * weight[s] / share) for s in free)
+    repeated = F.array(*[F.lit(float(w)) for w in weights])
+    weight = F.element_at(repeated, (F.col("_at") % len(weights) + 1).cast("int"))
+    rows = stored(_numbered(sizes).withColumn("_weight", weight), "mix-sources")
+    total = share * (rows.agg(F.sum("_source_size")).first()[0] or 0)
+    limit = F.lit(float(most)) * F.col("_source_size")
+    full, n_full = F.lit(False), 0
+    while True:
+        sums = rows.agg(F.sum(F.when(full, F.col("_source_size"))), F.sum(F.when(~full, F.col("_weight")))).first()
+        left, others = total - most * (sums[0] or 0), sums[1]
+        if not others:  # all are full, or there is none
+            part = F.lit(0.0)
             break
-        for s in full:
-            out[s] = most * sizes[s]
-        left -= sum(out[s] for s in full)
-        free = [s for s in free if s not in out]
-    return out
+        part = F.lit(float(left)) * F.col("_weight") / F.lit(float(others))
+        more = full | (part > limit)
+        n_more = rows.where(more).count()
+        if n_more == n_full:
+            break
+        full, n_full = more, n_more
+    return rows.select("_source", "_source_size", F.when(full, limit).otherwise(part).alias("_target"))
+
+
+def _numbered(sizes: DataFrame) -> DataFrame:
+    """``sizes`` with the place of each source in the order (_at): its place in its range, after
+    the sources of the ranges before."""
+    order = [F.col("_source").isNull(), F.col("_source")]
+    ranged = stored(sizes.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "mix-ranges")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    offsets = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    offsets = offsets.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    return ranged.join(offsets, "_part").select("_source", "_source_size", (F.col("_before") + within).alias("_at"))
 
 
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
@@ -122,7 +142,7 @@ def mix(
     keep_hash: bool = False,
 ) -> DataFrame:
     """id, source, size, source_size, target and taken (whole copies of the row, in words)."""
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     text = F.col(text_col)
     rows = stored(
         docs.select(
@@ -133,18 +153,9 @@ def mix(
         ),
         "mix-sizes",
     )
-    by_length = rows.groupBy("_source", "_size").agg(F.count("*").alias("_count"))
-    sizes = {
-        r["_source"]: r["n"]
-        for r in by_length.groupBy("_source").agg(F.sum(F.col("_size") * F.col("_count")).alias("n")).collect()
-    }  # a number for each source
-    goal = targets(sizes, list(weights), share * sum(sizes.values()), most)
-    if not goal:
-        goal = {None: 0.0}
-    listed = spark.createDataFrame(
-        [(s, int(sizes.get(s, 0)), float(t)) for s, t in goal.items()],
-        "_source string, _source_size long, _target double",
-    )
+    by_length = stored(rows.groupBy("_source", "_size").agg(F.count("*").alias("_count")), "mix-lengths")
+    words = F.sum(F.col("_size") * F.col("_count")).alias("_source_size")
+    listed = targets(by_length.groupBy("_source").agg(words), weights, share, most).withColumnRenamed("_source", "_of")
 
     def plan(group: pd.DataFrame) -> pd.DataFrame:
         lengths, counts = group["_size"].to_numpy(np.int64), group["_count"].to_numpy(np.int64)
@@ -161,8 +172,8 @@ def mix(
         return group.assign(_every=every, _more=more)
 
     plans = (
-        by_length.join(F.broadcast(listed), by_length["_source"].eqNullSafe(listed["_source"]))
-        .select(by_length["_source"], "_size", "_count", "_source_size", "_target")
+        by_length.join(listed, F.col("_source").eqNullSafe(F.col("_of")))
+        .select("_source", "_size", "_count", "_source_size", "_target")
         .groupBy("_source")
         .applyInPandas(
             plan,

@@ -84,3 +84,25 @@ def versions(docs):
 
 def crc_held_out(doc_id):
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+def targets(sizes: dict, weights: list[float], total: float, most: float = 2.0) -> dict:
+    """Target of each source: ``total`` by weight, none above ``most`` times its size.
+
+    Sources are ordered by code point with the null source last; the weights repeat. What
+    a full source cannot take is shared again among the others by weight.
+    """
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    out, free, left = {}, list(order), total
+    while free:
+        share = sum(weight[s] for s in free)
+        full = [s for s in free if left * weight[s] / share > most * sizes[s]]
+        if not full:
+            out.update((s, left * weight[s] / share) for s in free)
+            break
+        for s in full:
+            out[s] = most * sizes[s]
+        left -= sum(out[s] for s in full)
+        free = [s for s in free if s not in out]
+    return out

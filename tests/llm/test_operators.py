@@ -241,7 +241,7 @@ def test_mix(table_of, odd_rows):
         assert r["size"] == 0 == r["taken"] or r["taken"] % r["size"] == 0 and r["taken"] <= 2 * r["size"]
         by.setdefault(r["source"], []).append(r)
     sizes = {s: sum(r["size"] for r in rs) for s, rs in by.items()}
-    goal = budget_mix.targets(sizes, [5, 2, 1], 1.5 * sum(sizes.values()))
+    goal = brute.targets(sizes, [5, 2, 1], 1.5 * sum(sizes.values()))
     for s, rs in by.items():
         assert {r["target"] for r in rs} == {goal[s]} and {r["source_size"] for r in rs} == {sizes[s]}
         assert abs(sum(r["taken"] for r in rs) - goal[s]) <= max(3, 0.02 * goal[s])
@@ -250,9 +250,17 @@ def test_mix(table_of, odd_rows):
     assert mixed.count() == sum(r["taken"] // r["size"] for r in got if r["size"]) + sum(1 for r in mixed.where("length(trim(coalesce(text, ''))) = 0 or text rlike '^[ \\n\\t]*$'").collect())
 
 
-def test_targets_share_what_full_sources_cannot_take():
-    goal = budget_mix.targets({"a": 10, "b": 100, None: 1000}, [5, 2, 1], 1665)
+def test_targets_share_what_full_sources_cannot_take(spark):
+    goal = brute.targets({"a": 10, "b": 100, None: 1000}, [5, 2, 1], 1665)
     assert goal["a"] == 20 and goal["b"] == 200 and goal[None] == 1445
+    rng = random.Random(8)
+    many = {f"{rng.choice(['s', 'é', '日', ''])}{i}": int(rng.paretovariate(0.7)) for i in range(400)}
+    for sizes in ({"a": 10, "b": 100, None: 1000}, {**many, None: 7, "": 0, "big": 10**7}, {"a": 0, None: 0}, {None: 5}, {}):
+        table = spark.createDataFrame(list(sizes.items()), "_source string, _source_size long").repartition(3)
+        for share in (1.5, 2.0, 5.0):
+            got = {r["_source"]: r["_target"] for r in budget_mix.targets(table, (5, 2, 1), share).collect()}
+            want = brute.targets(sizes, [5, 2, 1], share * sum(sizes.values()))
+            assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s], rel=1e-12) for s in want)
 
 
 @pytest.mark.parametrize("seed", range(4))
