@@ -70,3 +70,47 @@ def test_a_replay_has_a_micro_batch_for_each_slice(spark):
     same(table, rows)
     batches = [p for p in Path(checkpoint.removeprefix("file:")).glob("commits/[0-9]*")]
     assert len(batches) == 3
+
+
+def _panels(spark, n=400):
+    rows = noisy(spark, n).drop("sequence_id", "panel_id")
+    names = F.array(F.lit("a"), F.lit("b"), F.lit(None).cast("string"))
+    return rows.withColumn("panel_id", F.explode(names))
+
+
+def test_training_reads_its_panel_once(spark):
+    panel = _panels(spark)
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(frames):
+        for frame in frames:
+            read.add(len(frame))
+            yield frame
+
+    few = Settings(trees=1, patience=1, tree_depth=1)
+    trained, baselines = forecasting.train(panel.mapInPandas(seen, panel.schema), SIX, few, 400)
+    assert read.value == 3 * 400
+    assert trained.n_rows == 3 * (320 - 169) and baselines.count() == 3
+
+
+def test_folds_are_cut_without_a_shuffle_of_the_features(spark):
+    known = build_features(_panels(spark), SIX, max_rows=400)
+    twice = known.filter("day_of_year = 9").withColumn("panel_id", F.lit("b"))  # times again
+    written = forecasting.training_rows(known.unionByName(twice), SIX)
+    rows = forecasting.with_cuts(written, SIX, Settings(), embargo=7, max_rows=600)
+    assert "Exchange hashpartitioning" not in rows._jdf.queryExecution().toString()
+    place, sizes = F.col("_place"), {}
+    for r in written.groupBy("panel_id").count().collect():
+        sizes[r.panel_id] = r["count"]
+    assert len(set(sizes.values())) == 2
+    for fold in range(1, 5):
+        held = place >= F.col(f"_from_{fold}")
+        if fold < 4:
+            held = held & (place < F.col(f"_from_{fold + 1}"))
+        got = rows.groupBy("panel_id").agg(
+            F.count_if(held).alias("held"), F.count_if(place < F.col(f"_until_{fold}")).alias("known")
+        )
+        for r in got.collect():
+            n, block = sizes[r.panel_id], sizes[r.panel_id] // 5
+            assert r.held == (block if fold < 4 else n - 4 * block)
+            assert r.known == block * fold - 7
