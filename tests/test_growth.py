@@ -5,7 +5,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
-from catalog import streams
+from catalog import models, streams
 from catalog.fixtures import six
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -114,3 +114,21 @@ def test_folds_are_cut_without_a_shuffle_of_the_features(spark):
             n, block = sizes[r.panel_id], sizes[r.panel_id] // 5
             assert r.held == (block if fold < 4 else n - 4 * block)
             assert r.known == block * fold - 7
+
+
+def test_held_out_rows_read_the_stored_panel(spark, tmp_path, monkeypatch):
+    day = F.timestamp_add("DAY", F.col("id"), F.lit("2020-01-01").cast("timestamp_ntz"))
+    rows = spark.range(5).select(
+        day.alias("l_shipdate"),
+        F.lit("A").alias("l_returnflag"),
+        F.lit("F").alias("l_linestatus"),
+        F.col("id").cast("double").alias("l_quantity"),
+    )
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    made, reads = models.X.panel_daily, []
+    monkeypatch.setattr(models.X, "panel_daily", lambda *a: reads.append(1) or made(*a))
+    for _ in range(2):
+        _, steps = models._holdout(spark, str(tmp_path))
+        assert steps == 5
+    assert len(reads) == 1
+    same(models._panel_daily(spark, str(tmp_path))[0], made(spark, str(tmp_path))[0])
