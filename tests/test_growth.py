@@ -4,6 +4,7 @@ import math
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from catalog import models, streams
 from catalog.fixtures import six
@@ -14,7 +15,7 @@ from loadweave.operators import forecasting, requests
 from loadweave.operators.features import build_features
 from loadweave.session import scratch_path
 from loadweave.settings import Settings
-from loadweave.streaming import flows
+from loadweave.streaming import flows, state
 from tests.helpers import SIX, noisy, same
 
 
@@ -132,3 +133,77 @@ def test_held_out_rows_read_the_stored_panel(spark, tmp_path, monkeypatch):
         assert steps == 5
     assert len(reads) == 1
     same(models._panel_daily(spark, str(tmp_path))[0], made(spark, str(tmp_path))[0])
+
+
+class _Calls:
+    """A state variable, and a handle that gives it under any name, counting the calls."""
+
+    def __init__(self):
+        self.calls, self.kept = 0, {}
+
+    def getValueState(self, name, schema):
+        return _Value(self, name)
+
+    def getMapState(self, name, *schemas):
+        return _Map(self, name)
+
+
+class _Value:
+    def __init__(self, handle, name):
+        self.handle, self.name = handle, name
+
+    def exists(self):
+        self.handle.calls += 1
+        return self.name in self.handle.kept
+
+    def get(self):
+        self.handle.calls += 1
+        return self.handle.kept.get(self.name)
+
+    def update(self, value):
+        self.handle.calls += 1
+        self.handle.kept[self.name] = value
+
+
+class _Map(_Value):
+    def _at(self, key):
+        self.handle.calls += 1
+        return (self.name, key)
+
+    def containsKey(self, key):
+        return self._at(key) in self.handle.kept
+
+    def getValue(self, key):
+        return self.handle.kept[self._at(key)]
+
+    def updateValue(self, key, value):
+        self.handle.kept[self._at(key)] = value
+
+    def removeKey(self, key):
+        del self.handle.kept[self._at(key)]
+
+    def keys(self):
+        self.handle.calls += 1
+        return [k[1] for k in self.handle.kept if k[0] == self.name and isinstance(k, tuple)]
+
+
+def _hours(n):
+    rows = pd.DataFrame({"panel_id": "p", "us": np.arange(n) * 3_600_000_000, "sequence_id": np.arange(n)})
+    rng = np.random.default_rng(2)
+    return rows.assign(arrival=rows["sequence_id"], **{z: rng.random(n) for z in SIX.zones})
+
+
+def test_a_panels_micro_batch_is_one_frame_and_few_state_calls():
+    handle, hour = _Calls(), 3_600_000_000
+    made = state.ArrivalHistory(SIX, Settings(), 16 * hour, "label")
+    rows = _hours(600)
+    for i, part in enumerate((rows[:300], rows[300:])):
+        made.init(handle)
+        handle.calls = 0
+        late = part.head(3).assign(us=-hour, arrival=10**6)
+        frames = list(made.handleInputRows(("p",), iter([pd.concat([part, late])]), None))
+        assert len(frames) == 1
+        assert set(frames[0]["kind"]) == ({"feature", "warmup", "late"} if i == 0 else {"feature", "late"})
+        # clock and history are read and written; 8 or 9 open buckets are written, and those before taken
+        assert handle.calls <= 4 + 9 * (1 if i == 0 else 3)
+    assert len(made.open) <= 9
