@@ -11,10 +11,12 @@ from catalog.fixtures import six
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadweave.operators import forecasting, requests
+from loadweave.operators import forecasting, prefix_quantiles, requests
 from loadweave.operators.features import build_features
+from loadweave.plans import layout
 from loadweave.session import scratch_path
-from loadweave.settings import Settings
+from loadweave.settings import PanelSpec, Settings
+from loadweave.sources import readers
 from loadweave.streaming import flows, state
 from tests.helpers import SIX, noisy, same
 
@@ -207,3 +209,28 @@ def test_a_panels_micro_batch_is_one_frame_and_few_state_calls():
         # clock and history are read and written; 8 or 9 open buckets are written, and those before taken
         assert handle.calls <= 4 + 9 * (1 if i == 0 else 3)
     assert len(made.open) <= 9
+
+
+
+def test_filled_rows_of_a_task_do_not_grow_with_the_panels(spark, monkeypatch):
+    monkeypatch.setattr(layout, "TASK_ROWS", 1000)
+    day = F.timestamp_add("DAY", F.col("id") % 50, F.lit("2020-01-01").cast("timestamp_ntz"))
+    rows = spark.range(400).select(F.col("id").cast("string").alias("panel_id"), day.alias("ts"), F.lit(1.0).alias("a"))
+    first, steps = readers.span(rows, "ts", "day")
+    dense = readers.densify(rows, PanelSpec("a", ()), first, steps, "day", panels=400)
+    tasks = [r["count"] for r in dense.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 400 * 50 and max(tasks) < 2000
+    same(dense, readers.densify(rows, PanelSpec("a", ()), first, steps, "day"))
+
+
+def test_ranks_in_the_same_digits_travel_in_one_row(spark, monkeypatch):
+    values = spark.range(96).select(F.lit("p").alias("k"), (F.col("id") / 24).cast("long").alias("b"), (F.col("id") * 37 % 96).alias("v"))
+    asked = spark.range(4).select(F.lit("p").alias("k"), F.col("id").alias("b"), ((F.col("id") + 1) * 24).alias("n"))
+    run, sizes = prefix_quantiles.running, []
+    monkeypatch.setattr(prefix_quantiles, "running", lambda laid, df, sums: sizes.append(df.count()) or run(laid, df, sums))
+    points, names = [i / 10 for i in range(11)], [f"q{i}" for i in range(11)]
+    got = prefix_quantiles.prefix_percentiles(values, asked, ["k"], "b", "v", "n", points, names, max_rows=4)
+    assert sizes[0] == 4 + 4  # a row of counts and one of ranks for each block, not 22 of ranks
+    for r in got.collect():
+        so_far = [i * 37 % 96 for i in range((r["b"] + 1) * 24)]
+        assert list(r)[2:] == pytest.approx(list(np.quantile(so_far, points)))
