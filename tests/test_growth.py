@@ -211,6 +211,19 @@ def test_a_panels_micro_batch_is_one_frame_and_few_state_calls():
     assert len(made.open) <= 9
 
 
+def test_sums_and_latencies_are_one_state_value():
+    handle = _Calls()
+    for start in (0, 60):
+        made = state.RunningSums(every=24, latency=True)
+        made.init(handle)
+        handle.calls = 0
+        part = pd.DataFrame({"sequence_id": np.arange(start, start + 60), "latency_ns": np.arange(start, start + 60)})
+        part = part.assign(**dict.fromkeys(state.SUM_TERMS, 1.0))
+        (got,) = made.handleInputRows(("p",), iter([part]), None)
+        assert handle.calls == 2
+    assert got["events_processed"].tolist() == [72, 96, 120] and got["l_abs"].tolist() == [72.0, 96.0, 120.0]
+    assert got["p50_ms"].tolist() == pytest.approx([35.5e-6, 47.5e-6, 59.5e-6])
+
 
 def test_filled_rows_of_a_task_do_not_grow_with_the_panels(spark, monkeypatch):
     monkeypatch.setattr(layout, "TASK_ROWS", 1000)
