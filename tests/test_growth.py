@@ -247,3 +247,11 @@ def test_ranks_in_the_same_digits_travel_in_one_row(spark, monkeypatch):
     for r in got.collect():
         so_far = [i * 37 % 96 for i in range((r["b"] + 1) * 24)]
         assert list(r)[2:] == pytest.approx(list(np.quantile(so_far, points)))
+
+
+def test_the_manifest_of_a_micro_batch_starts_no_python_worker(spark):
+    made = flows.manifest_of(spark, {7: 1, 3: 0})
+    assert "LocalRelation" in made._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, made.collect())) == [(3, 0), (7, 1)]
+    assert made.schema.simpleString() == "struct<bucket:int,slot:int>"
+    assert flows.manifest_of(spark, {}).count() == 0
