@@ -11,7 +11,7 @@ from catalog.fixtures import six
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadweave.operators import forecasting, prefix_quantiles, requests
+from loadweave.operators import forecasting, histograms, prefix_quantiles, requests
 from loadweave.operators.features import build_features
 from loadweave.plans import layout
 from loadweave.session import scratch_path
@@ -60,6 +60,37 @@ def test_few_trees_make_no_copy_of_their_rows(spark, monkeypatch):
     assert found.trees and not copies
 
 
+@pytest.mark.parametrize("patience", [None, 3])
+def test_many_rows_get_the_trees_of_spark_ml(spark, patience, monkeypatch):
+    monkeypatch.setattr(forecasting, "CHECKPOINT_EVERY", 2)
+    rows = noisy(spark, 600).withColumn("target", F.col("aep") * 2 + F.col("pjme"))
+    held_out = (F.pmod(F.xxhash64("sequence_id"), F.lit(3)) == 0).alias("held_out")
+    draw = F.xxhash64("sequence_id").alias("_draw")
+    rows = rows.select("target", held_out, draw, "sequence_id", *SIX.zones).repartition(4).cache()
+    vectors = forecasting.assembler(SIX.zones).transform(rows).select("features", "target", "held_out")
+    settings = Settings(tree_depth=4)
+    want = forecasting.boost(vectors, settings, 5, patience)
+    _, (fit,) = histograms.fits_of(rows, SIX.zones, [F.col("held_out").cast("int")], F.col("_draw"))
+    got = forecasting.boost_many(fit, settings, 5, patience)
+    assert got.base == pytest.approx(want.base) and len(got.trees) == len(want.trees)
+    assert got.errors == pytest.approx(want.errors, rel=1e-9)
+    assert got.importances == pytest.approx(want.importances, abs=1e-9)
+    a, b = (forecasting.as_model(m, SIX.zones).transform(rows) for m in (got, want))
+    same(a.select("sequence_id", "prediction"), b.select("sequence_id", "prediction"), 6)
+
+
+def test_many_rows_are_fitted_without_new_bins_for_every_tree(spark, monkeypatch):
+    known = build_features(_panels(spark), SIX, max_rows=400)
+    few = Settings(trees=3, patience=2, tree_depth=1)
+    want = forecasting.fit_walk_forward(known, SIX, few, max_rows=400)
+    monkeypatch.setattr(forecasting, "FEW_ROWS", 0)
+    monkeypatch.setattr(forecasting, "DecisionTreeRegressor", None)
+    got = forecasting.fit_walk_forward(known, SIX, few, max_rows=400)
+    assert got.n_rows == want.n_rows
+    same(got.folds, want.folds, 6)
+    assert got.importances == pytest.approx(want.importances, abs=1e-6)
+
+
 def test_a_replay_has_a_micro_batch_for_each_slice(spark):
     rows = noisy(spark, 30).select("sequence_id", "ts", *SIX.zones)
     rows = rows.withColumn("panel_id", F.explode(F.array(*[F.lit(f"p{i}") for i in range(20)])))
