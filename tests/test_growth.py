@@ -242,6 +242,25 @@ def test_a_panels_micro_batch_is_one_frame_and_few_state_calls():
     assert len(made.open) <= 9
 
 
+def test_a_panels_rows_travel_to_and_from_state_as_one_value(spark, monkeypatch):
+    monkeypatch.setattr(state, "PACK_ROWS", 100)
+    rows = _panels(spark, 300).select("panel_id", F.lit(1).cast("long").alias("sequence_id"), "ts", *SIX.zones)
+    record = state.history_record(SIX)
+    plain = rows.select("panel_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "sequence_id", *SIX.zones)
+    schema = f"panel_id string, {state.PACKED} binary"
+    sent = plain.coalesce(1).mapInArrow(state.packed_rows("panel_id", record), schema).collect()
+    assert {r.panel_id for r in sent} == {"a", "b", None} and len(sent) <= 3 * 9
+    made = state.PanelHistory(SIX, Settings(), "label", packed=True)
+    made.init(_Calls())
+    frames = (pd.DataFrame({state.PACKED: [r[1]]}) for r in sent if r.panel_id == "a")
+    (got,) = made.handleInputRows(("a",), frames, None)
+    assert list(got.columns) == ["panel_id", state.PACKED] and len(got) == 1
+    back = spark.createDataFrame(got, schema).mapInArrow(state.unpacked_rows(made.schema), made.schema)
+    want = build_features(rows.filter("panel_id = 'a'"), SIX)
+    shown = ["panel_id", *[n for n in state.history_names(SIX, Settings()) if not n.startswith("_")], "target"]
+    same(back.select(shown), want.select(shown))
+
+
 def test_sums_and_latencies_are_one_state_value():
     handle = _Calls()
     for start in (0, 60):
